@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_PACKS, RulePacks
-from ..rules.fixed_values import EVIDENCE_KEPT, EXCERPT_CHARS
 from .regex import find_all
-from .text import string_array
+from .text import prefixed, string_array
 
 
 def label_evidence(label: Column, message: Column, packs: RulePacks = DEFAULT_PACKS) -> Column:
@@ -27,17 +26,6 @@ def label_evidence(label: Column, message: Column, packs: RulePacks = DEFAULT_PA
 def general_evidence(message: Column, packs: RulePacks = DEFAULT_PACKS) -> Column:
     """Case-sensitive matches that apply to any label, as ``kind: match``."""
     text = F.coalesce(message, F.lit(""))
-    parts = [
-        F.transform(find_all(text, p), lambda m, k=kind: F.concat(F.lit(f"{k}: "), m))
-        for kind, p in packs.general_evidence
-    ]
+    parts = [prefixed(find_all(text, p), f"{kind}: ") for kind, p in packs.general_evidence]
     return F.concat(*parts) if parts else string_array([])
 
-
-def evidence(label: Column, message: Column, packs: RulePacks = DEFAULT_PACKS) -> Column:
-    """Label and general evidence without repeats, the first five; an excerpt if there is none."""
-    found = F.concat(label_evidence(label, message, packs), general_evidence(message, packs))
-    excerpt = F.concat(F.lit("Log excerpt: "),
-                       F.substring(F.coalesce(message, F.lit("")), 1, EXCERPT_CHARS), F.lit("..."))
-    kept = F.slice(F.array_distinct(found), 1, EVIDENCE_KEPT)
-    return F.when(F.size(kept) == 0, F.array(excerpt)).otherwise(kept)

@@ -22,6 +22,10 @@ def string_array(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def prefixed(values: Column, prefix: str) -> Column:
+    return F.transform(values, lambda v: F.concat(F.lit(prefix), v))
+
+
 def normalize_text(col: Column) -> Column:
     """Lower case, every run of other characters than a-z as one blank, trimmed; null is ''."""
     return F.trim(F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), "[^a-z]+", " "))
@@ -42,8 +46,7 @@ def tag_service_keywords(service: Column, col: Column, packs: RulePacks = DEFAUL
     branches = F.when(F.lit(False), string_array([]))
     for name, keywords in packs.service_keywords.items():
         found = F.filter(string_array(keywords), lambda k: F.contains(lowered, k))
-        branches = branches.when(
-            service == name, F.transform(found, lambda k, n=name: F.concat(F.lit(f"{n}_"), k)))
+        branches = branches.when(service == name, prefixed(found, f"{name}_"))
     return branches.otherwise(string_array([]))
 
 
@@ -75,13 +78,16 @@ def remove_stop_words(tokens: Column, words: list[str] | tuple[str, ...] | None
     return F.filter(tokens, lambda t: ~t.isin(listed)) if listed else tokens
 
 
+def _runs(tokens: Column, n: int) -> Column:
+    if n == 1:
+        return tokens
+    starts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
+    return F.transform(starts, lambda t, i: F.concat_ws(" ", t, *[F.get(tokens, i + k) for k in range(1, n)]))
+
+
 def ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:
-    """All runs of ``low`` to ``high`` neighbouring tokens, joined with a blank."""
-    parts = []
-    for n in range(low, high + 1):
-        if n == 1:
-            parts.append(tokens)
-            continue
-        starts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-        parts.append(F.transform(starts, lambda t, i, n=n: F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ")))
-    return F.concat(*parts)
+    """All runs of ``low`` to ``high`` neighbouring tokens, joined with a blank.
+
+    Pass a column, not an expression: the tokens are looked up once per n-gram.
+    """
+    return F.concat(*[_runs(tokens, n) for n in range(low, high + 1)])
