@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.columns import computed_once
 from ..functions.scalar import TIME_FEATURES
 from ..rules import DEFAULT_PACKS, RulePacks
 from . import evaluate, features
-from .mining import category_examples
 from .stages import BoostedTrees, LogColumns, UnseenAsMinusOne
 
 RANDOM_FOREST, LOGISTIC, BOOSTED = "random_forest", "logistic_regression", "boosted_trees"
@@ -309,12 +309,14 @@ def score(df: DataFrame, model: LogModel) -> DataFrame:
     """Add ``prediction`` (label), ``probability`` (array in label order) and ``confidence``
     (probability of the predicted label). No shuffle."""
     kept = df.columns
-    scored = model.pipeline.transform(df).withColumn("_probability", vector_to_array(F.col("probability")))
-    names = F.array(*[F.lit(k) for k in model.labels])
+    scored = model.pipeline.transform(df)
     position = F.col("prediction").cast("int")
-    return scored.select(*kept, F.get(names, position).alias("_label"), F.col("_probability"),
-                         F.get("_probability", position).alias("confidence")).withColumnsRenamed(
-        {"_label": "prediction", "_probability": "probability"})
+    once = computed_once(
+        scored.withColumn("_scores", vector_to_array(F.col("probability"))).withColumn("_position", position),
+        _label=F.get(text.string_array(model.labels), F.col("_position")), _probability=F.col("_scores"),
+        _confidence=F.get("_scores", F.col("_position")))
+    return once.select(*kept, F.col("_label").alias("prediction"), F.col("_probability").alias("probability"),
+                       F.col("_confidence").alias("confidence"))
 
 
 def _forest_like(model) -> list:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,14 +9,14 @@ from ..operators import diagnose, evaluate, mining
 from ..operators.features import stratified_split
 from ..operators.model import FeatureConfig, LogModel, ModelConfig, feature_importance, permutation_importance, score, train
 from ..rules import DEFAULT_PACKS, RulePacks
-from ..session import materialize
+from ..session import materialize, settle
 from ..sources.logs import write_json_report
 
 
 def category_report(logs: DataFrame, packs: RulePacks = DEFAULT_PACKS, path: str | None = None) -> DataFrame:
-    """The category report of a log table. The profile (one row per label) is written to the
-    shared folder once; all sections read it from there."""
-    report = mining.category_report(materialize(mining.category_profile(logs, packs), "category-profile"))
+    """The category report of a log table. The profile (one row per label) is computed once for
+    all sections."""
+    report = mining.category_report(settle(mining.category_profile(logs, packs), "category-profile"))
     if path:
         write_json_report(report, path)
     return report
@@ -50,8 +48,9 @@ def insights(scored: DataFrame, model: LogModel, label: str = "root_cause_label"
     20 with the highest importance in the model.
     """
     spark = scored.sparkSession
-    cm = materialize(evaluate.confusion(scored, label, "prediction"), "confusion")
-    rates, top = diagnose.class_error_rate(cm), diagnose.top_misclassifications(cm)
+    cm = settle(evaluate.confusion(scored, label, "prediction"), "confusion")
+    rates = settle(diagnose.class_error_rate(cm), "rates")
+    top = settle(diagnose.top_misclassifications(cm), "confusions")
     pairs = diagnose.challenging_pairs(top)
     accuracy = evaluate.overall_metrics(cm).filter("metric = 'accuracy'").select(F.col("value").alias("accuracy"))
     importance = feature_importance(model, spark)
@@ -90,6 +89,3 @@ def insights(scored: DataFrame, model: LogModel, label: str = "root_cause_label"
         write_json_report(report, path)
     return report
 
-
-def untuned(config: ModelConfig) -> ModelConfig:
-    return replace(config, tune=False)

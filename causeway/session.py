@@ -51,6 +51,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(df: DataFrame, name: str, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Compute a small table once, for plans that read it several times.
+
+    Up to ``max_rows`` rows become a local table; a larger result is written
+    to the shared folder instead.
+    """
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
+        return materialize(df, name)
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import computed_once
+from ..functions.text import string_array
 from ..operators.mining import category_scores
 from ..operators.profile import scorable
 from ..rules import DEFAULT_PACKS, RulePacks
@@ -92,20 +94,18 @@ def preds_from_logs(logs: DataFrame, packs: RulePacks = DEFAULT_PACKS) -> DataFr
     no phrase is found), in label order.
     """
     labels = packs.labels
+    lowered = logs.filter(scorable()).withColumn("lowered", F.lower("log_message"))
     scores = category_scores(F.col("lowered"), packs)
-    scored = logs.filter(scorable()).withColumn("lowered", F.lower("log_message")).select(
-        "*", *[scores[c].alias(f"s{i}") for i, c in enumerate(labels)])
+    scored = computed_once(lowered, **{f"s{i}": scores[k] for i, k in enumerate(labels)})
     total = F.col("s0")
     for i in range(1, len(labels)):
         total = total + F.col(f"s{i}")
-    scored = scored.withColumn("total", total)
     equal = F.lit(1.0) / F.lit(float(len(labels)))
-    scored = scored.withColumn("probability", F.array(*[
+    scored = scored.withColumn("total", total).withColumn("probability", F.array(*[
         F.when(F.col("total") == 0, equal).otherwise(F.try_divide(F.col(f"s{i}"), F.col("total")))
         for i in range(len(labels))]))
-    best = F.array_max("probability")
-    return scored.withColumn("confidence", best).withColumn(
-        "prediction", F.element_at(F.array(*[F.lit(c) for c in labels]),
-                                   F.array_position("probability", F.col("confidence")).cast("int"))
-    ).select("log_id", "timestamp", "service", "severity", "log_message",
-             F.col("root_cause_label").alias("label"), "prediction", "probability", "confidence")
+    position = F.array_position("probability", F.array_max("probability")).cast("int")
+    picked = computed_once(scored, confidence=F.array_max("probability"),
+                           prediction=F.element_at(string_array(labels), position))
+    return picked.select("log_id", "timestamp", "service", "severity", "log_message",
+                         F.col("root_cause_label").alias("label"), "prediction", "probability", "confidence")
