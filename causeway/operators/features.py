@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.columns import computed_once
 from ..session import sized_broadcast
 from .ranking import first_by_hash, hash_rank
 
@@ -20,9 +21,14 @@ MAX_CATEGORIES = 1_000_000
 
 def add_terms(df: DataFrame, col: str, out: str = "terms",
               stop_words: list[str] | tuple[str, ...] | None = None, low: int = 1, high: int = 2) -> DataFrame:
-    """Add the tokens without stop words, and their n-grams."""
+    """Add the tokens without stop words, and their n-grams.
+
+    Both are fixed before they are used: repeated inside a later filter or
+    lambda, the tokens of a long text would be derived once per token.
+    """
     tokens = text.remove_stop_words(text.tokenize(F.col(col)), stop_words)
-    return df.withColumn("_tokens", tokens).withColumn(out, text.ngrams(F.col("_tokens"), low, high)).drop("_tokens")
+    staged = computed_once(df, _tokens=tokens)
+    return computed_once(staged, **{out: text.ngrams(F.col("_tokens"), low, high)}).drop("_tokens")
 
 
 def _bound(limit: int | float, n_docs: int) -> float:
@@ -37,7 +43,7 @@ def term_statistics(df: DataFrame, terms_col: str) -> DataFrame:
     neighbours marks the document count. One shuffle by term, after partial
     sums; no shuffle by document.
     """
-    ordered = df.select(F.sort_array(terms_col).alias("_sorted"))
+    ordered = computed_once(df.select(terms_col), _sorted=F.sort_array(terms_col))
     marked = F.transform("_sorted", lambda t, i: F.struct(
         t.alias("term"),
         F.when(i == 0, F.lit(1)).when(F.get("_sorted", i - 1) != t, F.lit(1)).otherwise(F.lit(0)).alias("first")))
@@ -47,15 +53,16 @@ def term_statistics(df: DataFrame, terms_col: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Terms in alphabetical order, their document counts, and the number of documents."""
+    """Terms in alphabetical order, their document and total counts, and the number of documents."""
 
     terms: list[str]
     doc_counts: list[int]
+    total_counts: list[int]
     n_docs: int
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        rows = [(i, t, c) for i, (t, c) in enumerate(zip(self.terms, self.doc_counts))]
-        return spark.createDataFrame(rows, "idx int, term string, doc_count bigint")
+        rows = list(zip(range(len(self.terms)), self.terms, self.doc_counts, self.total_counts))
+        return spark.createDataFrame(rows, "idx int, term string, doc_count bigint, total_count bigint")
 
 
 def fit_vocabulary(df: DataFrame, terms_col: str, max_features: int = 1000,
@@ -66,8 +73,9 @@ def fit_vocabulary(df: DataFrame, terms_col: str, max_features: int = 1000,
     kept = (term_statistics(df, terms_col)
             .filter((F.col("doc_count") >= _bound(min_df, n_docs)) & (F.col("doc_count") <= _bound(max_df, n_docs)))
             .orderBy(F.desc("total_count"), F.asc("term")).limit(max_features))
-    rows = sorted((r["term"], r["doc_count"]) for r in kept.collect())
-    return Vocabulary([t for t, _ in rows], [c for _, c in rows], n_docs)
+    rows = sorted((tuple(r) for r in kept.select("term", "doc_count", "total_count").collect()),
+                  key=lambda r: r[0].encode())
+    return Vocabulary([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], n_docs)
 
 
 def idf_weights(vocabulary: Vocabulary) -> list[float]:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar, text
+from ..functions.columns import computed_once
 from ..rules import RulePacks
 
 
@@ -48,9 +49,9 @@ class LogColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         time = F.col(time_col) if time_col in dataset.columns else F.lit(None).cast("string")
         error_class = text.classify_error(message, packs)
         tokens = text.tokenize(text.combined_message(service, message, packs))
-        derived = (dataset.withColumn("error_class", error_class)
-                   .withColumn("_tokens", text.remove_stop_words(tokens, self.getOrDefault(self.stopWords)))
-                   .withColumn("terms", text.ngrams(F.col("_tokens"), 1, 2)).drop("_tokens"))
+        derived = computed_once(dataset, error_class=error_class,
+                                _tokens=text.remove_stop_words(tokens, self.getOrDefault(self.stopWords)))
+        derived = computed_once(derived, terms=text.ngrams(F.col("_tokens"), 1, 2)).drop("_tokens")
         columns = {"severity_encoded": scalar.encode_severity(F.col(self.getOrDefault(self.severityCol)), packs),
                    **scalar.time_features(time)}
         return derived.withColumns({k: v.cast("double") for k, v in columns.items()})

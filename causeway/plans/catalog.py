@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import evidence, scalar, text
 from ..operators import diagnose, evaluate, features, mining, model, profile, summary
 from ..rules import DEFAULT_PACKS
-from ..session import materialize, scratch_path, settle
+from ..session import materialize, scratch_path, settle, spread
 from ..sources import fixture, logs as log_io
 from ..streaming import scoring
 from . import reports
@@ -48,7 +48,7 @@ def preds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    return spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
 
 
 def cm(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,9 +213,7 @@ def ngrams(spark, sf):
 def fit_vocabulary(spark, sf):
     docs = features.add_terms(documents(spark, sf), "text")
     found = features.fit_vocabulary(docs, "terms", max_features=500, min_df=2, max_df=0.5)
-    counts = features.term_statistics(docs, "terms").select("term", "total_count")
-    return (F.broadcast(found.to_df(spark)).join(counts, "term")
-            .select("term", "total_count", "doc_count", c("idx").cast("bigint").alias("idx")))
+    return found.to_df(spark).select("term", "total_count", "doc_count", c("idx").cast("bigint").alias("idx"))
 
 
 @query

@@ -51,6 +51,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of an input that has fewer splits than there are cores.
+
+    A small file comes in one split, which would leave text work to one core.
+    Large inputs have more splits than cores and stay as they are, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def settle(df: DataFrame, name: str, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Compute a small table once, for plans that read it several times.
 

@@ -14,6 +14,7 @@ from ..functions.text import string_array
 from ..operators.mining import category_scores
 from ..operators.profile import scorable
 from ..rules import DEFAULT_PACKS, RulePacks
+from ..session import spread
 
 SERVICES = ["kyc-service", "ml-inference", "oauth-handler", "data-export", "ingestion-service",
             "data-pipeline", "reporting-api", "transaction-validator", "db-pool", "payments-core",
@@ -84,7 +85,7 @@ def logs_from_events(events: DataFrame) -> DataFrame:
 
 
 def read_fixture_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return logs_from_events(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
 def preds_from_logs(logs: DataFrame, packs: RulePacks = DEFAULT_PACKS) -> DataFrame:
