@@ -143,8 +143,7 @@ def _distribution_facts(dist: DataFrame) -> DataFrame:
 
     return dist.groupBy("label").agg(
         F.count_if(F.col("kind") == "service").alias("n_services"),
-        F.coalesce(top("service"), F.lit("various")).alias("common_service"),
-        F.coalesce(top("severity"), F.lit("mixed")).alias("common_severity"),
+        top("service").alias("common_service"), top("severity").alias("common_severity"),
         counts("service").alias("service_distribution"), counts("severity").alias("severity_distribution"))
 
 
@@ -158,7 +157,8 @@ def _description() -> Column:
     return F.format_string(
         "%s. %s This category contains %d log entries across %d different services. "
         "Most commonly affects the %s service with %s severity levels.",
-        "name", "text", "total", "n_services", "common_service", "common_severity")
+        "name", "text", "total", F.coalesce("n_services", F.lit(0)),
+        F.coalesce("common_service", F.lit("various")), F.coalesce("common_severity", F.lit("mixed")))
 
 
 def category_description(df: DataFrame, packs: RulePacks = DEFAULT_PACKS, label: str = LABEL,
@@ -167,7 +167,7 @@ def category_description(df: DataFrame, packs: RulePacks = DEFAULT_PACKS, label:
     totals = (df.filter(F.col(label).isin(packs.labels)).groupBy(F.col(label).alias("label"))
               .agg(F.count(F.lit(1)).alias("total")))
     facts = _distribution_facts(category_distribution(df, packs, label, service, severity))
-    return (totals.join(facts, "label").join(F.broadcast(_definitions(df, packs)), "label")
+    return (totals.join(facts, "label", "left").join(F.broadcast(_definitions(df, packs)), "label")
             .select("label", _description().alias("description")))
 
 
@@ -196,12 +196,14 @@ def category_profile(df: DataFrame, packs: RulePacks = DEFAULT_PACKS, fold_terms
     examples = (category_examples(df, 3, packs, label, message, order).groupBy("label")
                 .agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", message))),
                                  lambda s: s[message]).alias("example_logs")))
-    return (lists.join(facts, "label").join(examples, "label")
+    nothing = F.create_map().cast("map<string,bigint>")
+    # A label may have neither services nor severities.
+    return (lists.join(facts, "label", "left").join(examples, "label")
             .join(F.broadcast(_definitions(df, packs)), "label")
             .select("label", "common_patterns", "key_phrases", "error_types",
                     F.col("issues").alias("typical_system_issues"),
                     _description().alias("category_description"), "example_logs",
-                    "service_distribution", "severity_distribution"))
+                    *[F.coalesce(k, nothing).alias(k) for k in ("service_distribution", "severity_distribution")]))
 
 
 def category_pairs(phrase_rows: DataFrame, labels: DataFrame | None = None) -> DataFrame:

@@ -78,7 +78,9 @@ def fit_features(df: DataFrame, config: FeatureConfig = FeatureConfig(),
                          serviceCol=config.service, severityCol=config.severity, timestampCol=config.timestamp)
     derived = columns.transform(df)
     vocabulary = features.fit_vocabulary(derived, "terms", config.max_features, config.min_df, config.max_df)
-    stages: list = [columns, *features.tfidf_stages(vocabulary, "terms", "tfidf")]
+    stages: list = [columns]
+    if vocabulary.terms:
+        stages += features.tfidf_stages(vocabulary, "terms", "tfidf")
     for source, out in ((config.service, "service"), ("error_class", "error_class")):
         known = features.fit_categories(derived, source)
         stages.append(StringIndexerModel.from_labels(known, inputCol=source, outputCol=f"_{out}_index",
@@ -86,8 +88,6 @@ def fit_features(df: DataFrame, config: FeatureConfig = FeatureConfig(),
         stages.append(UnseenAsMinusOne(inputCol=f"_{out}_index", outputCol=f"{out}_encoded", known=len(known)))
     parts = (["tfidf"] if vocabulary.terms else []) + CATEGORICAL + TIME_FEATURES
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
-    if not vocabulary.terms:
-        stages = [s for s in stages if s not in stages[1:4]]
     return PipelineModel(stages), vocabulary.terms + CATEGORICAL + TIME_FEATURES
 
 
