@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize, settle
+
 LABEL, PREDICTION, PROBABILITY = "label", "prediction", "probability"
 
 
@@ -113,7 +115,9 @@ def _running(points: DataFrame, keys: list[str], sums: list[str], ascending: boo
     """
     order = F.col("_bucket") if ascending else F.col("_bucket").desc()
     inner = F.col("score") if ascending else F.col("score").desc()
-    points = points.withColumn("_bucket", _bucket(F.col("score")))
+    # With the explicit filter both uses of the points look alike, so Spark can share their shuffle.
+    points = (points.withColumn("_bucket", _bucket(F.col("score")))
+              .filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in [*keys, "_bucket"]])))
     totals = points.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(f"{s}_bucket") for s in sums])
     earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
@@ -185,8 +189,11 @@ def macro_mean(table: DataFrame, value: str, name: str) -> DataFrame:
 
 def ranking_metrics(df: DataFrame, labels: list[str], label: str = LABEL, probability: str = PROBABILITY,
                     digits: int | None = None) -> DataFrame:
-    """Rows (metric, value): both areas and the average precision, as macro means."""
-    scores = class_scores(df, labels, label, probability, digits)
+    """Rows (metric, value): both areas and the average precision, as macro means.
+
+    The score counts feed three metrics with two reads each: they are written once.
+    """
+    scores = materialize(class_scores(df, labels, label, probability, digits), "class-scores")
     return (macro_mean(roc_auc_ovo(scores, labels), "auc", "roc_auc_ovo")
             .unionByName(macro_mean(roc_auc_ovr(scores), "auc", "roc_auc_ovr"))
             .unionByName(macro_mean(average_precision(scores), "average_precision", "average_precision")))
@@ -235,6 +242,7 @@ def evaluate(df: DataFrame, labels: list[str], label: str = LABEL, prediction: s
         raise ValueError("no predictions to evaluate")
     counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count(F.lit(1)).alias("n"))
+    counts = settle(counts, "confusion")
     parts = [metrics_from_confusion(counts)]
     parts.append(dense_confusion(counts).select(
         F.lit("confusion").alias("scope"), "label", F.concat_ws(">", "label", "prediction").alias("metric"),

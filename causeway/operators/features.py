@@ -182,8 +182,9 @@ def stratified_split(df: DataFrame, label: str = "root_cause_label", test: float
         return df.withColumn("is_test", share < test)
     if mode != "exact":
         raise ValueError(f"unknown mode {mode}")
-    quotas = split_quotas(df, label, test).select(label, "quota")
-    return first_by_hash(df, label, key, seed, quotas, "is_test")
+    quotas = split_quotas(df, label, test)
+    n_rows = quotas.agg(F.sum("n")).first()[0] or 0
+    return first_by_hash(df, label, key, seed, quotas.select(label, "quota"), "is_test", n_rows)
 
 
 def fold_count(n_rows: int, n_classes: int, wanted: int = 5) -> int:
@@ -204,5 +205,5 @@ def stratified_folds(df: DataFrame, label: str = "root_cause_label", k: int = 5,
         return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int"))
     if mode != "exact":
         raise ValueError(f"unknown mode {mode}")
-    ranked = hash_rank(df, label, key, seed, "_position")
+    ranked = hash_rank(df, label, key, seed, "_position", facts["n"] or 0)
     return ranked.withColumn("fold", ((F.col("_position") - 1) % folds).cast("int")).drop("_position")

@@ -8,13 +8,20 @@ buckets, in parallel.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import sized_broadcast
 
-# Hex digits of the hash that name the bucket: 16 ** 3 buckets per group.
-BUCKET_DIGITS = 3
+# Rows a bucket should hold at most, were all rows in one group.
+BUCKET_ROWS = 100_000
+
+
+def bucket_digits(n_rows: int) -> int:
+    """Leading hex digits of the hash that name a bucket: 16 times the buckets for each digit."""
+    return max(1, min(6, math.ceil(math.log(max(n_rows, 1) / BUCKET_ROWS, 16))))
 
 
 def hash_order(key: Column, seed: int) -> Column:
@@ -29,14 +36,17 @@ def _buckets(df: DataFrame, group: str) -> DataFrame:
     return sizes.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0).cast("bigint")))
 
 
-def _with_order(df: DataFrame, key: str, seed: int) -> DataFrame:
+def _with_order(df: DataFrame, key: str, seed: int, n_rows: int) -> DataFrame:
     return (df.withColumn("_order", hash_order(F.col(key), seed))
-            .withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS)))
+            .withColumn("_bucket", F.substring("_order", 1, bucket_digits(n_rows))))
 
 
-def hash_rank(df: DataFrame, group: str, key: str, seed: int, out: str) -> DataFrame:
-    """Add the 1-based rank of each row inside its group by hash order (ties by key)."""
-    ordered = _with_order(df, key, seed)
+def hash_rank(df: DataFrame, group: str, key: str, seed: int, out: str, n_rows: int) -> DataFrame:
+    """Add the 1-based rank of each row inside its group by hash order (ties by key).
+
+    ``n_rows`` is the number of all rows; it only sets the number of buckets.
+    """
+    ordered = _with_order(df, key, seed, n_rows)
     offsets = _buckets(ordered.select(group, "_bucket"), group).drop("size")
     inside = Window.partitionBy(group, "_bucket").orderBy("_order", key)
     return (ordered.withColumn("_rank", F.row_number().over(inside))
@@ -45,14 +55,15 @@ def hash_rank(df: DataFrame, group: str, key: str, seed: int, out: str) -> DataF
             .drop("_order", "_bucket", "_rank", "before"))
 
 
-def first_by_hash(df: DataFrame, group: str, key: str, seed: int, quotas: DataFrame, out: str) -> DataFrame:
+def first_by_hash(df: DataFrame, group: str, key: str, seed: int, quotas: DataFrame, out: str,
+                  n_rows: int) -> DataFrame:
     """Add a flag: is the row among the first ``quota`` rows of its group by hash order?
 
     ``quotas`` holds (group, quota), one row per group. Only rows of the one
     bucket per group that the quota cuts are ranked; all others are decided by
     their bucket alone, without a shuffle.
     """
-    ordered = _with_order(df, key, seed)
+    ordered = _with_order(df, key, seed, n_rows)
     cut = (_buckets(ordered.select(group, "_bucket"), group).join(quotas, group)
            .filter((F.col("before") < F.col("quota")) & (F.col("before") + F.col("size") >= F.col("quota")))
            .select(group, F.col("_bucket").alias("_cut"), (F.col("quota") - F.col("before")).alias("_take")))

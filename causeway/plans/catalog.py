@@ -68,7 +68,7 @@ def joined(col: Column | str, sep: str = "|") -> Column:
 @query
 def read_logs(spark, sf):
     path = scratch_path(spark, "logs-csv")
-    logs(spark, sf).write.csv(path, header=True, quote='"', escape='"', emptyValue='""', nullValue="")
+    logs(spark, sf).write.csv(path, header=True, quote='"', escape='"')
     return log_io.read_logs(spark, path)
 
 
@@ -519,7 +519,7 @@ def overall_metrics(spark, sf):
 
 
 def _class_scores(spark, sf) -> DataFrame:
-    return evaluate.class_scores(preds(spark, sf), LABELS)
+    return materialize(evaluate.class_scores(preds(spark, sf), LABELS), "class-scores")
 
 
 @query

@@ -17,7 +17,8 @@ def read_logs(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struct
               escape: str = '"') -> DataFrame:
     """Read a log table. A missing path raises ``FileNotFoundError``.
 
-    CSV: header line, fields quoted with ``"``, blanks after a comma skipped.
+    CSV: header line, fields quoted with ``"``, blanks after a comma skipped, an
+    empty field is null whether quoted or not.
     ``escape`` is the character that protects a quote inside a quoted field: a
     doubled quote by default, a backslash for files written that way.
     """

@@ -20,7 +20,8 @@ PROFILE_COLUMNS = "label, category_description, common_patterns, key_phrases, er
 PER_CLASS_COLUMNS = 'label, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1, support'
 
 # --- sources and sinks
-add("read_logs", v.LOGS, "SELECT * FROM logs")
+# An empty CSV field is null.
+add("read_logs", v.LOGS, "SELECT * REPLACE (nullif(log_message, '') AS log_message) FROM logs")
 add("write_json_report", v.PROFILE, f"SELECT {PROFILE_COLUMNS} FROM profile")
 add("write_per_class_csv", v.PER_CLASS, f"SELECT {PER_CLASS_COLUMNS} FROM per_class")
 

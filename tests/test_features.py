@@ -94,6 +94,10 @@ def test_split_takes_the_first_by_hash_also_in_a_hot_class(spark):
         assert flags == sorted(flags, reverse=True)
 
 
+def test_bucket_digits_grow_with_the_data():
+    assert [ranking.bucket_digits(n) for n in (0, 10 ** 5, 10 ** 7, 2 * 10 ** 11)] == [1, 1, 2, 6]
+
+
 def test_hash_split_is_approximate(spark):
     share = features.stratified_split(labelled(spark, [4000, 1000]), test=0.3, mode="hash").agg(
         F.avg(F.col("is_test").cast("double"))).first()[0]
@@ -102,7 +106,8 @@ def test_hash_split_is_approximate(spark):
 
 def test_hash_rank_equals_sorted_order(spark):
     df = labelled(spark, [3000, 10])
-    ranked = ranking.hash_rank(df, "root_cause_label", "log_id", 7, "pos").collect()
+    # Told of more rows than there are, it cuts more buckets.
+    ranked = ranking.hash_rank(df, "root_cause_label", "log_id", 7, "pos", n_rows=50_000_000).collect()
     for k in range(2):
         mine = sorted((r for r in ranked if r["root_cause_label"] == f"RC-{k}"), key=lambda r: order(r["log_id"], 7))
         assert [r["pos"] for r in mine] == list(range(1, len(mine) + 1))

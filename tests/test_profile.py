@@ -79,7 +79,7 @@ def test_validation(spark, odd, sample):
 def test_csv_quotes_commas_and_blanks(spark, tmp_path):
     path = tmp_path / "logs.csv"
     path.write_text('log_id,timestamp,service,severity,log_message,root_cause_label\n'
-                    '1, 2024-01-01T00:00:00Z, a,INFO,"one, ""two"" three",RC-01\n2,,b,,"x",\n')
+                    '1, 2024-01-01T00:00:00Z, a,INFO,"one, ""two"" three",RC-01\n2,,b,"","x",\n')
     got = [tuple(r) for r in log_io.read_logs(spark, str(path)).collect()]
     assert got[0] == ("1", "2024-01-01T00:00:00Z", "a", "INFO", 'one, "two" three', "RC-01")
     assert got[1] == ("2", None, "b", None, "x", None)
