@@ -24,8 +24,7 @@ def _ratio(a: Column, b: Column) -> Column:
 def confusion(df: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -> DataFrame:
     """Rows (label, prediction, n), dense over all labels that occur on either side.
 
-    The counts have one row per pair of labels; they are folded into one row
-    to fill the gaps, so no join is needed.
+    The counts have one row per pair of labels; the gaps are filled from them.
     """
     counts = df.groupBy(F.col(label).cast("string").alias("label"), F.col(prediction).cast("string").alias("prediction")
                         ).agg(F.count(F.lit(1)).alias("n"))
@@ -33,16 +32,18 @@ def confusion(df: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -
 
 
 def dense_confusion(counts: DataFrame) -> DataFrame:
-    """Fill a table (label, prediction, n) with zero cells."""
+    """Fill a table (label, prediction, n) with zero cells.
+
+    Its rows and a zero for every pair of labels are added up.
+    """
     whole = counts.agg(
-        F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction"))).alias("labels"),
-        F.map_from_entries(F.collect_list(F.struct(
-            F.struct("label", "prediction"), F.col("n").cast("bigint")))).alias("cells"))
-    rows = whole.select("labels", "cells", F.explode("labels").alias("label"))
-    grid = rows.select("cells", "label", F.explode("labels").alias("prediction"))
-    return grid.select("label", "prediction",
-                       F.coalesce(F.element_at("cells", F.struct("label", "prediction")), F.lit(0)).cast("bigint")
-                       .alias("n"))
+        F.array_union(F.collect_set("label"), F.collect_set("prediction")).alias("labels"),
+        F.collect_list(F.struct("label", "prediction", F.col("n").cast("bigint").alias("n"))).alias("cells"))
+    zero = F.lit(0).cast("bigint").alias("n")
+    zeros = F.flatten(F.transform("labels", lambda a: F.transform("labels", lambda b: F.struct(
+        a.alias("label"), b.alias("prediction"), zero))))
+    return (whole.select(F.inline(F.concat("cells", zeros)))
+            .groupBy("label", "prediction").agg(F.sum("n").alias("n")))
 
 
 def confusion_normalized(cm: DataFrame) -> DataFrame:

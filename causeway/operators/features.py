@@ -66,10 +66,13 @@ class Vocabulary:
 
 
 def fit_vocabulary(df: DataFrame, terms_col: str, max_features: int = 1000,
-                   min_df: int | float = 1, max_df: int | float = 1.0) -> Vocabulary:
+                   min_df: int | float = 1, max_df: int | float = 1.0, n_docs: int | None = None) -> Vocabulary:
     """The ``max_features`` terms with the highest total count (ties by term) inside the
-    document-frequency bounds. Only those terms reach the driver."""
-    n_docs = df.count()
+    document-frequency bounds. Only those terms reach the driver.
+
+    Pass ``n_docs`` where it is cheaper to count before the terms are derived.
+    """
+    n_docs = df.count() if n_docs is None else n_docs
     kept = (term_statistics(df, terms_col)
             .filter((F.col("doc_count") >= _bound(min_df, n_docs)) & (F.col("doc_count") <= _bound(max_df, n_docs)))
             .orderBy(F.desc("total_count"), F.asc("term")).limit(max_features))

@@ -77,12 +77,14 @@ def fit_features(df: DataFrame, config: FeatureConfig = FeatureConfig(),
     columns = LogColumns(packs=packs.to_json(), stopWords=words, messageCol=config.message,
                          serviceCol=config.service, severityCol=config.severity, timestampCol=config.timestamp)
     derived = columns.transform(df)
-    vocabulary = features.fit_vocabulary(derived, "terms", config.max_features, config.min_df, config.max_df)
+    vocabulary = features.fit_vocabulary(derived, "terms", config.max_features, config.min_df, config.max_df,
+                                         n_docs=df.count())
     stages: list = [columns]
     if vocabulary.terms:
         stages += features.tfidf_stages(vocabulary, "terms", "tfidf")
+    classed = df.select(config.service, text.classify_error(F.col(config.message), packs).alias("error_class"))
     for source, out in ((config.service, "service"), ("error_class", "error_class")):
-        known = features.fit_categories(derived, source)
+        known = features.fit_categories(classed, source)
         stages.append(StringIndexerModel.from_labels(known, inputCol=source, outputCol=f"_{out}_index",
                                                      handleInvalid="keep"))
         stages.append(UnseenAsMinusOne(inputCol=f"_{out}_index", outputCol=f"{out}_encoded", known=len(known)))

@@ -3,7 +3,7 @@
 A group (a class) may hold a third of all rows. Rows are ordered by a salted
 hash; the leading hash digits cut each group into many small buckets. Counting
 the buckets gives every bucket's offset, so ranks are only formed inside
-buckets, in parallel.
+buckets, in parallel. Keys identify rows: they must be unique and not null.
 """
 
 from __future__ import annotations

@@ -211,15 +211,17 @@ def ngrams(spark, sf):
 
 @query
 def fit_vocabulary(spark, sf):
-    docs = features.add_terms(documents(spark, sf), "text")
-    found = features.fit_vocabulary(docs, "terms", max_features=500, min_df=2, max_df=0.5)
+    rows = documents(spark, sf)
+    docs = features.add_terms(rows, "text")
+    found = features.fit_vocabulary(docs, "terms", max_features=500, min_df=2, max_df=0.5, n_docs=rows.count())
     return found.to_df(spark).select("term", "total_count", "doc_count", c("idx").cast("bigint").alias("idx"))
 
 
 @query
 def tfidf(spark, sf):
-    docs = features.add_terms(documents(spark, sf), "text")
-    found = features.fit_vocabulary(docs, "terms", max_features=200)
+    rows = documents(spark, sf)
+    docs = features.add_terms(rows, "text")
+    found = features.fit_vocabulary(docs, "terms", max_features=200, n_docs=rows.count())
     return rounded(features.vector_entries(features.tfidf(docs, "terms", found), "tfidf", found, "doc_id"), "weight")
 
 

@@ -97,14 +97,11 @@ def preds_from_logs(logs: DataFrame, packs: RulePacks = DEFAULT_PACKS) -> DataFr
     labels = packs.labels
     lowered = logs.filter(scorable()).withColumn("lowered", F.lower("log_message"))
     scores = category_scores(F.col("lowered"), packs)
-    scored = computed_once(lowered, **{f"s{i}": scores[k] for i, k in enumerate(labels)})
-    total = F.col("s0")
-    for i in range(1, len(labels)):
-        total = total + F.col(f"s{i}")
-    equal = F.lit(1.0) / F.lit(float(len(labels)))
-    scored = scored.withColumn("total", total).withColumn("probability", F.array(*[
-        F.when(F.col("total") == 0, equal).otherwise(F.try_divide(F.col(f"s{i}"), F.col("total")))
-        for i in range(len(labels))]))
+    scored = computed_once(lowered, scores=F.array(*[scores[k] for k in labels])).withColumn(
+        "total", F.aggregate("scores", F.lit(0.0), lambda total, s: total + s))
+    equal = 1.0 / len(labels)
+    scored = scored.withColumn("probability", F.transform(
+        "scores", lambda s: F.when(F.col("total") == 0, F.lit(equal)).otherwise(F.try_divide(s, F.col("total")))))
     position = F.array_position("probability", F.array_max("probability")).cast("int")
     picked = computed_once(scored, confidence=F.array_max("probability"),
                            prediction=F.element_at(string_array(labels), position))
