@@ -31,7 +31,7 @@ FEATURES = model.FeatureConfig(max_features=100)
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -389,7 +389,7 @@ def general_evidence(spark, sf):
 
 
 @query
-def evidence_list(spark, sf):
+def evidence_(spark, sf):
     return summary.add_evidence(preds(spark, sf)).select("log_id", joined("evidence").alias("evidence"))
 
 
@@ -545,7 +545,7 @@ def classification_report(spark, sf):
 
 
 @query
-def evaluate_all(spark, sf):
+def evaluate_(spark, sf):
     return rounded(evaluate.evaluate(preds(spark, sf), LABELS), "value")
 
 

@@ -152,7 +152,7 @@ add("holdout_accuracy", v.PREDS + f", renamed AS (SELECT log_id, label AS {RC},
 # --- evidence and summaries
 add("label_evidence", v.PREDS, f"SELECT log_id, array_to_string({v.label_matches('prediction', 'log_message')}, '|') AS evidence FROM preds")
 add("general_evidence", v.PREDS, f"SELECT log_id, array_to_string({v.general_matches('log_message')}, '|') AS evidence FROM preds")
-add("evidence_list", v.EVIDENCE, "SELECT log_id, array_to_string(evidence, '|') AS evidence FROM proofs")
+add("evidence", v.EVIDENCE, "SELECT log_id, array_to_string(evidence, '|') AS evidence FROM proofs")
 add("template_lookup", v.PREDS + ", " + v.INCIDENTS + """,
 marked AS (SELECT log_id, CASE WHEN severity = 'High' THEN 'RC-99' ELSE prediction END AS prediction FROM preds)""", f"""
 SELECT log_id, prediction, coalesce(title, replace({q(D.title)}, '{{label}}', prediction)) AS title,
@@ -228,7 +228,7 @@ UNION ALL SELECT 'overall', '', metric, round(value, 6) FROM overall
 UNION ALL SELECT 'confusion_share', label, label || '>' || prediction, round(share, 6) FROM shares_of"""
 METRIC_CTES = v.OVERALL + v.NORMALIZED[len(v.CM):]
 add("metrics_from_confusion", METRIC_CTES, METRICS)
-add("evaluate_all", METRIC_CTES + v.AP[len(v.PREDS):], METRICS + """
+add("evaluate", METRIC_CTES + v.AP[len(v.PREDS):], METRICS + """
 UNION ALL SELECT 'confusion', label, label || '>' || prediction, CAST(n AS DOUBLE) FROM cm
 UNION ALL SELECT 'overall', '', 'roc_auc_ovr', round(avg(auc), 6) FROM auc_ovr
 UNION ALL SELECT 'overall', '', 'roc_auc_ovo', round(avg(auc), 6) FROM auc_ovo
