@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_PACKS, RulePacks
+from ..rules.stop_words import ENGLISH
 from .regex import java_pattern
 
 # A token is a run of two or more letters, digits or underscores.
@@ -66,15 +64,9 @@ def tokenize(col: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-@lru_cache(maxsize=None)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark's English list. Needs an active session; callers may pass any other list."""
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 def remove_stop_words(tokens: Column, words: list[str] | tuple[str, ...] | None = None) -> Column:
     """Tokens that are not stop words, in order."""
-    listed = list(english_stop_words() if words is None else words)
+    listed = list(ENGLISH if words is None else words)
     return F.filter(tokens, lambda t: ~t.isin(listed)) if listed else tokens
 
 

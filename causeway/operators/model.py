@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.columns import computed_once
 from ..functions.scalar import TIME_FEATURES
+from ..rules.stop_words import ENGLISH
 from ..rules import DEFAULT_PACKS, RulePacks
 from . import evaluate, features
 from .stages import BoostedTrees, LogColumns, UnseenAsMinusOne
@@ -73,7 +74,7 @@ def fit_features(df: DataFrame, config: FeatureConfig = FeatureConfig(),
 
     One pipeline serves training and scoring, so both see the same codes.
     """
-    words = list(text.english_stop_words() if config.stop_words is None else config.stop_words)
+    words = list(ENGLISH if config.stop_words is None else config.stop_words)
     columns = LogColumns(packs=packs.to_json(), stopWords=words, messageCol=config.message,
                          serviceCol=config.service, severityCol=config.severity, timestampCol=config.timestamp)
     derived = columns.transform(df)

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import glob
-import os
 import re
-import zipfile
-
-import pyspark
 
 from causeway.rules import DEFAULT_PACKS as PACKS
+from causeway.rules.stop_words import ENGLISH
 from causeway.sources import fixture
 
 
@@ -29,13 +25,6 @@ def values(rows) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(cell(v) for v in r) + ")" for r in rows) + ")"
 
 
-def stop_words() -> list[str]:
-    """Spark's English stop words, read from the installed library."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as z:
-        return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
-
-
 LABELS = PACKS.labels
 
 
@@ -289,7 +278,7 @@ def tokens(column: str) -> str:
 
 
 def kept_tokens(column: str) -> str:
-    return f"list_filter({tokens(column)}, lambda t: NOT list_contains({texts(stop_words())}, t))"
+    return f"list_filter({tokens(column)}, lambda t: NOT list_contains({texts(ENGLISH)}, t))"
 
 
 def ngrams(column: str) -> str:
