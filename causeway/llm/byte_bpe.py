@@ -1,16 +1,18 @@
 """Byte-level BPE by the tokenizers library with a cache of words.
 
 The library's pre-tokenizer starts a new piece at a single blank between two
-characters that are no white space, and its merges never cross pieces. So the
-ids of a text are those of its blank-separated words, and only words not seen
-before go through the library. Everything else (runs of blanks, other white
-space beside a blank) stays inside a word and is left to the library.
+characters that are no white space, makes a single line end between such a
+piece of its own, and its merges never cross pieces. So the ids of a text are
+those of its words, and only words not seen before go through the library.
+Everything else (runs of blanks, other white space beside a blank) stays inside
+a word and is left to the library.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import chain
+from itertools import compress
+from operator import not_
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -18,7 +20,7 @@ from tokenizers import Tokenizer
 # A blank at which any text may be cut: printable ASCII or a letter or digit on either side.
 SAFE = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 # Words a worker keeps. Frequent words come early; those beyond are encoded again in each call that has them.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 
 
 class ByteBpe:
@@ -34,9 +36,9 @@ class ByteBpe:
         self.opens = np.zeros(1 << 16, bool)  # ids whose piece begins with a blank
         for piece, i in self.tokenizer.get_vocab().items():
             self.opens[i] = piece.startswith("Ġ")
-        self.line_end = self._plain("\n")
-        self.head: dict[str, bytes] = {}
-        self.tail: dict[str, bytes] = {}
+        self.line_end = int(self.tokenizer.encode("\n", add_special_tokens=False).ids[0])
+        # By word: the ids after a blank; a word with a line end before it stands for both.
+        self.known: dict[str, bytes] = {}
 
     @classmethod
     def shared(cls, model: str) -> ByteBpe:
@@ -48,42 +50,43 @@ class ByteBpe:
     def _plain(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _learn_tails(self, words: set[str]) -> None:
-        """Encode new words, each after a blank, a few thousand to a call; the blanks tell them apart again."""
-        new = sorted(words)
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            ids = np.asarray(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u2")
-            starts = np.flatnonzero(self.opens[ids])
+    def _learn(self, words: list[str], mark: str) -> None:
+        """Encode new words, each after ``mark``, a few thousand to a call; the marks tell them apart again."""
+        for at in range(0, len(words), 4096):
+            some = words[at:at + 4096]
+            ids = np.asarray(self.tokenizer.encode(mark + mark.join(some), add_special_tokens=False).ids, "<u2")
+            starts = np.flatnonzero(self.opens[ids] if mark == " " else ids == self.line_end)
+            keys = some if mark == " " else [mark + w for w in some]
             if len(starts) == len(some):
                 data, ends = ids.tobytes(), np.append(starts[1:], len(ids))
-                for w, a, b in zip(some, (2 * starts).tolist(), (2 * ends).tolist()):
-                    self.tail[w] = data[a:b]
-            else:  # a word with a blank of its own inside
-                for w in some:
-                    self.tail[w] = self._plain(" " + w)
+                for k, a, b in zip(keys, (2 * starts).tolist(), (2 * ends).tolist()):
+                    self.known[k] = data[a:b]
+            else:  # a word with such a mark inside
+                for k, w in zip(keys, some):
+                    self.known[k] = self._plain(mark + w)
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        cut = []  # for each text its lines, each a list of words
+        units: list[str] = []
+        bounds, first = [0], []
         for t in texts:
-            if not t:
-                cut.append([])
-            elif " ".join(t.split()) == t.replace("\n", " "):
+            if " ".join(t.split()) == t.replace("\n", " "):
                 # All white space is single blanks and line ends, each with something else on either side.
-                cut.append([line.split(" ") for line in t.split("\n")])
+                units += ("\n" + t).replace("\n", " \n")[1:].split(" ") if t else []
+                first.append(b"")
             else:
-                cut.append([SAFE.split(t)])
-        lines = list(chain.from_iterable(cut))
-        seen = set(chain.from_iterable(line[1:] for line in lines))
-        new_tails = seen - self.tail.keys()
-        self._learn_tails(new_tails)
-        new_heads = {line[0] for line in lines} - self.head.keys()
-        for w in new_heads:
-            self.head[w] = self._plain(w)
-        tail, head = self.tail.__getitem__, self.head
-        out = [self.line_end.join([head[line[0]] + b"".join(map(tail, line[1:])) for line in parts]) for parts in cut]
-        for known, new in ((self.tail, new_tails), (self.head, new_heads)):
+                head, *rest = SAFE.split(t)
+                units += rest
+                first.append(self._plain(head))
+            bounds.append(len(units))
+        found = list(map(self.known.get, units))
+        new = sorted(set(compress(units, map(not_, found))))
+        if new:
+            self._learn([w for w in new if w[:1] != "\n"], " ")
+            self._learn([w[1:] for w in new if w[:1] == "\n"], "\n")
+            known = self.known
+            found = [known[u] if v is None else v for u, v in zip(units, found)]
             if len(known) > CACHE_WORDS:
                 for w in new:
                     del known[w]
-        return out
+        # A text of the plain kind began with a line end that is not its own.
+        return [f + b"".join(found[a:b])[0 if f else 2:] for f, a, b in zip(first, bounds, bounds[1:])]

@@ -27,7 +27,7 @@ from .byte_bpe import ByteBpe
 from .common import shared_path
 
 END_ID = 0
-BLOCK = 256
+BLOCK = 1024
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 16
 HEAD = struct.Struct("<IHBH")  # minimum, count, width, exceptions
@@ -55,7 +55,8 @@ def encode_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     """One block: head, packed low bits, then positions (2 bytes) and values (4 bytes) of the exceptions."""
     low = int(ids.min())
     rest = (ids - low).astype(np.uint32)
-    width = int(np.percentile(rest, percentile, method="higher")).bit_length()
+    at = min(len(rest) - 1, int(np.ceil((len(rest) - 1) * percentile / 100)))
+    width = int(np.partition(rest, at)[at]).bit_length()
     odd = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
     packed = rest.copy()
     packed[odd] = 0
