@@ -10,8 +10,9 @@ pair is computed exactly from both bags.
 Equal word sequences are one node from the start. Per band bucket, nodes are
 compared with the bucket's first node; whoever passes joins its class. Buckets
 that then still hold several classes get the remaining comparisons, between
-classes only. So a group of thousands of copies costs a comparison each, and no
-pair that shares a bucket and is similar enough ends up in different classes.
+classes only, and large ones in blocks that give links instead of pairs. So a
+group of thousands of copies costs a comparison each, and no pair that shares a
+bucket and is similar enough ends up in different classes.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ BANDS, ROWS = 24, 5
 # A pair of similarity 0.8 has fewer equal registers than this (of 120) in about three of a million cases.
 LEAST_EQUAL = 76
 CHUNK_ELEMENTS = 1 << 18
+# Buckets up to this size give pairs; larger ones are compared in blocks of about so many nodes a side.
+SMALL_BUCKET = 32
+BLOCK_NODES = 512
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -46,7 +50,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, n: int, m: int = BANDS * ROWS) -> np.ndarray:
-    """(n, m) registers of ``n`` bags. ``owner`` says which bag an element is in; every bag has an element."""
+    """(n, m) registers of ``n`` bags, each the element that came first. ``owner`` says which bag an element is in; every bag has an element."""
     first = np.full(n * m, np.inf)
     kept = np.zeros(n * m, np.uint64)
     at = np.zeros(len(elements))
@@ -63,13 +67,13 @@ def signatures(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, n:
         # Later arrivals of an element only come later: it ends once it is behind every register of its bag.
         alive = np.flatnonzero(at < first.reshape(n, m).max(axis=1)[own])
         state, at, weight, own, element = state[alive], at[alive], weight[alive], own[alive], element[alive]
-    return (kept & np.uint64(0x7FFFFFFF)).astype(np.int32).reshape(n, m)
+    return kept.reshape(n, m)
 
 
 def band_keys(registers: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """(n, bands) 64-bit keys; the band number is part of the key."""
     n, m = registers.shape
-    parts = registers.reshape(n, bands, m // bands).astype(np.uint64)
+    parts = registers.reshape(n, bands, m // bands)
     out = np.broadcast_to(np.arange(bands, dtype=np.uint64), (n, bands)).copy()
     for r in range(m // bands):
         out = mix64(out ^ parts[:, :, r])
@@ -111,7 +115,7 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 rows = batch.slice(at, 512)
                 yield _sketched(rows.column(0), rows.column(1), word_lists(rows.column(2).to_pylist()))
 
-    return own.mapInArrow(run, "key long, text_key long, digest binary, registers array<int>, bands array<long>")
+    return own.mapInArrow(run, "key long, text_key long, digest binary, registers array<tinyint>, bands array<long>")
 
 
 def _sketched(keys: pa.Array, text_keys: pa.Array, lists: list[list[str]]) -> pa.RecordBatch:
@@ -127,7 +131,8 @@ def _sketched(keys: pa.Array, text_keys: pa.Array, lists: list[list[str]]) -> pa
         owner = np.repeat(np.arange(len(some)), [len(b[0]) for b in bags])
         sig = signatures(np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags]), owner, len(some))
         for i, s, k in zip(some, sig, band_keys(sig)):
-            registers[i], bands[i] = s, k
+            # A byte of each register is enough to count equal ones: it can only make a pair look closer.
+            registers[i], bands[i] = (s & np.uint64(0xFF)).astype(np.uint8).view(np.int8), k
         some.clear()
 
     for i, w in enumerate(lists):
@@ -141,15 +146,13 @@ def _sketched(keys: pa.Array, text_keys: pa.Array, lists: list[list[str]]) -> pa
         flush()
     return pa.RecordBatch.from_arrays(
         [keys.cast(pa.int64()), text_keys.cast(pa.int64()), pa.array(digests, pa.binary()),
-         pa.array(registers, pa.list_(pa.int32())), pa.array(bands, pa.list_(pa.int64()))],
+         pa.array(registers, pa.list_(pa.int8())), pa.array(bands, pa.list_(pa.int64()))],
         names=["key", "text_key", "digest", "registers", "bands"])
 
 
-def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY,
-                  key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Of (a, b) node pairs those whose bags are similar enough, with their exact similarity."""
-    used = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    places = nodes.select("id", "key", "text_key").join(used, "id")
+def bags_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, elements, counts) of the nodes ``ids``, made from their texts; no counts where all are one."""
+    places = nodes.select("id", "key", "text_key").join(ids, "id")
     source = docs.select(F.col(key).cast("long").alias("d_key"), text_key(F.col(text)).alias("d_text"), F.col(text).alias("t"))
     texts = source.join(places, source["d_key"].eqNullSafe(places["key"]) & (source["d_text"] == places["text_key"]))
 
@@ -164,21 +167,26 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarit
                     names=["id", "elements", "counts"])
 
     # Rows that repeat a key and text give one bag.
-    bag = cut(texts.select("id", "t").mapInArrow(bags, "id long, elements binary, counts binary").dropDuplicates(["id"]))
+    return cut(texts.select("id", "t").mapInArrow(bags, "id long, elements binary, counts binary").dropDuplicates(["id"]))
+
+
+def bag_from(elements: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    e = np.frombuffer(elements, np.uint64)
+    return e, np.frombuffer(counts, "<u4") if counts else np.ones(len(e), np.uint32)
+
+
+def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY,
+                  key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of (a, b) node pairs those whose bags are similar enough, with their exact similarity."""
+    bag = bags_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), nodes, docs, key, text)
     left = bag.select(F.col("id").alias("a"), F.col("elements").alias("a_e"), F.col("counts").alias("a_c"))
     right = bag.select(F.col("id").alias("b"), F.col("elements").alias("b_e"), F.col("counts").alias("b_c"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            values = []
-            for r in range(batch.num_rows):
-                sides = []
-                for s in "ab":
-                    e = np.frombuffer(col[f"{s}_e"][r].as_py(), np.uint64)
-                    c = np.frombuffer(col[f"{s}_c"][r].as_py(), "<u4")
-                    sides += [e, c if len(c) else np.ones(len(e), np.uint32)]
-                values.append(probability_jaccard(*sides))
+            values = [probability_jaccard(*bag_from(*a), *bag_from(*b)) for a, b in zip(
+                zip(col["a_e"].to_pylist(), col["a_c"].to_pylist()), zip(col["b_e"].to_pylist(), col["b_c"].to_pylist()))]
             yield pa.RecordBatch.from_arrays([col["a"], col["b"], pa.array(values, pa.float64())], names=["a", "b", "similarity"])
 
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "a_e", "a_c", "b_e", "b_c")
@@ -214,16 +222,82 @@ def components(edges: DataFrame) -> DataFrame:
         labels = cut(labels.join(roots, "label").select("id", F.col("root").alias("label")))
 
 
+def block_links(table: pa.Table, similarity: float) -> pa.Table:
+    """Links between classes inside one block: the nodes of ``side`` 0 against those of ``side`` 1.
+
+    All of them share the bucket of band ``band``. A pair is compared in the
+    first band it shares, and only while its classes are still apart. Links
+    come back as pairs of labels, enough to join what belongs together.
+    """
+    col = {n: table.column(n).to_pylist() for n in ("side", "label", "elements", "counts", "keys")}
+    band = table.column("band")[0].as_py()
+    side, label = np.array(col["side"]), np.array(col["label"], np.int64)
+    keys = np.array(col["keys"], np.int64)
+    bags = [bag_from(e, c) for e, c in zip(col["elements"], col["counts"])]
+    other = np.flatnonzero(side == 1)
+    links: list[tuple[int, int]] = []
+    if len(other):
+        flat = np.concatenate([bags[i][0] for i in other])
+        weight = np.concatenate([bags[i][1] for i in other]).astype(np.float64)
+        starts = np.cumsum([0] + [len(bags[i][0]) for i in other])[:-1]
+        totals = np.add.reduceat(weight, starts)
+    for u in np.flatnonzero(side == 0) if len(other) else ():
+        e, c = bags[u]
+        open_ = (label[other] != label[u]) & ((keys[other, :band] == keys[u, :band]).sum(axis=1) == 0)
+        if not open_.any():
+            continue
+        place = np.minimum(np.searchsorted(e, flat), len(e) - 1)
+        hit = e[place] == flat
+        # No similarity exceeds the share of either bag that the other one has.
+        mine = np.add.reduceat(np.where(hit, c[place], 0).astype(np.float64), starts) / c.sum()
+        theirs = np.add.reduceat(np.where(hit, weight, 0), starts) / totals
+        bound = np.minimum(mine, theirs)
+        near = np.flatnonzero(open_ & (bound >= similarity - 1e-9))
+        for k in near[np.argsort(-bound[near], kind="stable")]:
+            v = other[k]
+            if label[u] != label[v] and probability_jaccard(e, c, *bags[v]) >= similarity:
+                links.append((int(label[u]), int(label[v])))
+                label[label == label[v]] = label[u]
+    return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+
+
 def equal_registers(a: str, b: str):
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e))
 
 
+def _block_pairs(open_: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float, key: str, text: str) -> DataFrame:
+    """Links between the classes of large buckets, as pairs of labels.
+
+    Nodes outside a bucket's largest class are compared with all its nodes, in
+    blocks of bounded size that spread over the tasks; a block gives its links,
+    not its pairs.
+    """
+    bag = bags_of(open_.select("id").distinct(), nodes, docs, key, text)
+    full = (open_.join(bag, "id").join(nodes.select("id", F.col("bands").alias("keys")), "id")
+            .withColumn("n_left", F.ceil((F.col("n") - F.col("most")) / BLOCK_NODES).cast("int"))
+            .withColumn("n_right", F.ceil(F.col("n") / BLOCK_NODES).cast("int"))
+            .withColumn("place", F.abs(F.xxhash64("id", "bucket"))))
+    common = ["bucket", "band", "label", "elements", "counts", "keys"]
+    left = full.filter("label <> major").select(
+        *common, F.lit(0).alias("side"), (F.col("place") % F.col("n_left")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("n_right") - 1)).alias("j"))
+    right = full.select(
+        *common, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("n_left") - 1)).alias("i"),
+        (F.col("place") % F.col("n_right")).cast("int").alias("j"))
+
+    def links(table: pa.Table) -> pa.Table:
+        return block_links(table, similarity)
+
+    return (left.unionByName(right).groupBy("bucket", "i", "j")
+            .applyInArrow(links, "a long, b long").distinct())
+
+
 def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFrame:
     """Rows (key, text_key, node, class_id, class_rows), one for each row of ``docs``."""
     rows = cut(sketch(docs, key, text))
     nodes = cut(rows.filter(F.col("digest").isNotNull()).dropDuplicates(["digest"])
                 .withColumn("id", F.monotonically_increasing_id()))
-    dealt = nodes.select("id", F.explode("bands").alias("bucket"))
+    dealt = nodes.select("id", F.posexplode("bands").alias("band", "bucket"))
     heads = dealt.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     shared = cut(dealt.join(heads, "bucket"))  # only buckets of two or more nodes
     register = nodes.select("id", "registers")
@@ -241,18 +315,21 @@ def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFra
                 .select("a", (-F.col("m")["col2"]).alias("b")))
     labels = components(similar_pairs(first, nodes, docs, similarity, key, text))
     # What is left: pairs of one bucket in different classes.
-    placed = shared.join(labels, "id", "left").select("id", "bucket", F.coalesce("label", "id").alias("label"))
-    several = (placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-               .filter("low < high").select("bucket"))
-    open_ = cut(placed.join(several, "bucket").join(register, "id"))
-    a = open_.select("bucket", F.col("id").alias("a"), F.col("label").alias("la"), F.col("registers").alias("ra"))
-    b = open_.select("bucket", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("registers").alias("rb"))
+    placed = cut(shared.join(labels, "id", "left").select("id", "band", "bucket", F.coalesce("label", "id").alias("label")))
+    several = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+               .agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("label", "n").alias("major"))
+               .filter("most < n"))
+    open_ = cut(placed.join(several, "bucket"))
+    small = open_.filter(F.col("n") <= SMALL_BUCKET).join(register, "id")
+    a = small.select("bucket", F.col("id").alias("a"), F.col("label").alias("la"), F.col("registers").alias("ra"))
+    b = small.select("bucket", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("registers").alias("rb"))
     rest = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("la") < F.col("lb"))
                   & (equal_registers("ra", "rb") >= LEAST_EQUAL)).select("a", "b").distinct()
-    more = similar_pairs(cut(rest.join(first, ["a", "b"], "left_anti")), nodes, docs, similarity, key, text)
-    more = (more.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
-            .join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
-            .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    pairs = similar_pairs(cut(rest.join(first, ["a", "b"], "left_anti")), nodes, docs, similarity, key, text)
+    pairs = (pairs.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
+             .join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
+             .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    more = pairs.union(_block_pairs(open_.filter(F.col("n") > SMALL_BUCKET), nodes, docs, similarity, key, text))
     joined = components(more)
     final = (nodes.select("id", "digest").join(labels, "id", "left")
              .select("digest", F.coalesce("label", "id").alias("id")).join(joined, "id", "left")
