@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,3 +17,10 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     filters below a generator, so the columns come from one with a single row.
     """
     return df.select("*", F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where null equals null; the key columns come from ``left``."""
+    renamed = right.withColumnsRenamed({name: f"_right_{name}" for name in on})
+    met = reduce(lambda a, b: a & b, (left[name].eqNullSafe(renamed[f"_right_{name}"]) for name in on))
+    return left.join(renamed, met, how).drop(*[f"_right_{name}" for name in on])

@@ -14,9 +14,14 @@ WEEKEND_FROM = 5
 TIME_FEATURES = ["hour_of_day", "day_of_week", "is_weekend", "is_business_hours"]
 
 
-def parse_time(col: Column) -> Column:
-    """Timestamp, or null when the text is not one."""
-    return F.try_to_timestamp(col)
+# Tried in this order after ISO 8601.
+TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss,SSS", "yyyy/MM/dd HH:mm[:ss]", "MMM d, yyyy HH:mm[:ss]", "MM/dd/yyyy HH:mm[:ss]")
+
+
+def parse_time(col: Column, formats: tuple[str, ...] = TIME_FORMATS) -> Column:
+    """Timestamp, or null when the text is none of the ``formats`` or has no date."""
+    dated = F.when(col.rlike(r"^\s*\d{4}-\d"), F.try_to_timestamp(col))
+    return F.coalesce(dated, *[F.try_to_timestamp(col, F.lit(fmt)) for fmt in formats])
 
 
 def time_features(col: Column) -> dict[str, Column]:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, settle
+from ..session import materialize
 
 LABEL, PREDICTION, PROBABILITY = "label", "prediction", "probability"
 
@@ -243,7 +243,7 @@ def evaluate(df: DataFrame, labels: list[str], label: str = LABEL, prediction: s
         raise ValueError("no predictions to evaluate")
     counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count(F.lit(1)).alias("n"))
-    counts = settle(counts, "confusion")
+    counts = materialize(counts, "confusion")
     parts = [metrics_from_confusion(counts)]
     parts.append(dense_confusion(counts).select(
         F.lit("confusion").alias("scope"), "label", F.concat_ws(">", "label", "prediction").alias("metric"),

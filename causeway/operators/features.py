@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.columns import computed_once
-from ..session import sized_broadcast
 from .ranking import first_by_hash, hash_rank
 
 # Distinct values a category column may have to be coded.
@@ -131,7 +130,7 @@ def category_codes(spark: SparkSession, values: list[str]) -> DataFrame:
 def index_category(df: DataFrame, col: str, values: list[str], out: str | None = None) -> DataFrame:
     """Add the alphabetical code of a category; −1 for null and for values not in ``values``."""
     out = out or f"{col}_encoded"
-    codes = sized_broadcast(category_codes(df.sparkSession, values))
+    codes = category_codes(df.sparkSession, values)
     return (df.join(codes.select(F.col("value").alias(col), F.col("code").alias("_code")), col, "left")
             .withColumn(out, F.coalesce("_code", F.lit(-1))).drop("_code"))
 
@@ -143,23 +142,21 @@ def label_counts(df: DataFrame, label: str) -> DataFrame:
 def class_weights(df: DataFrame, label: str = "root_cause_label") -> DataFrame:
     """Rows (label, n, weight): rows / (classes × rows of the class)."""
     counts = label_counts(df.filter(F.col(label).isNotNull()), label)
-    # One row per class, folded into one row for the totals.
-    whole = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"),
-                       F.collect_list(F.struct(F.col(label).alias("label"), "n")).alias("rows"))
-    return whole.select("total", "k", F.inline("rows")).select(
-        "label", "n", (F.col("total") / (F.col("k") * F.col("n"))).alias("weight"))
+    whole = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))  # one row
+    return counts.join(F.broadcast(whole)).select(
+        F.col(label).alias("label"), "n", (F.col("total") / (F.col("k") * F.col("n"))).alias("weight"))
 
 
 def with_class_weight(df: DataFrame, label: str = "root_cause_label", out: str = "weight") -> DataFrame:
-    """Add the balanced weight of the row's class."""
-    weights = sized_broadcast(class_weights(df, label).select(F.col("label").alias(label), F.col("weight").alias(out)))
-    return df.join(weights, label)
+    """Add the balanced weight of the row's class; rows without a class stay and get no weight."""
+    weights = class_weights(df, label).select(F.col("label").alias(label), F.col("weight").alias(out))
+    return df.join(weights, label, "left")
 
 
 def split_quotas(df: DataFrame, label: str, test: float) -> DataFrame:
     """Rows (label, n, quota): test rows per class, largest remainders first, ties by label."""
     rows = label_counts(df, label).collect()
-    rows.sort(key=lambda r: r[label])
+    rows.sort(key=lambda r: (r[label] is None, r[label] or ""))  # rows without a class are a class, the last
     total = sum(r["n"] for r in rows)
     whole = -int(-total * test // 1)
     exact = [r["n"] * whole / total for r in rows] if total else []

@@ -285,8 +285,10 @@ def train(df: DataFrame, config: ModelConfig = ModelConfig(), feature_config: Fe
           packs: RulePacks = DEFAULT_PACKS, fit_on: DataFrame | None = None, key: str = "log_id") -> LogModel:
     """Fit features, weights and classifier on labelled rows, with the grid search if asked for.
 
-    ``fit_on`` names other rows for the feature statistics (all rows, say).
+    ``fit_on`` names other rows for the feature statistics (all rows, say). Rows
+    without a label take no part in the fit.
     """
+    df = df.filter(F.col(feature_config.label).isNotNull())
     fitted, names = fit_features(df if fit_on is None else fit_on, feature_config, packs)
     label = feature_config.label
     labels = features.fit_categories(df, label)
@@ -355,7 +357,7 @@ def compare_models(train_df: DataFrame, test_df: DataFrame, configs: list[ModelC
             values = {r["metric"]: r["value"] for r in evaluate.overall_metrics(cm).collect()}
             parts.append((config.model_type, values["accuracy"], values["macro_f1"], values["weighted_f1"], None))
         except Exception as err:  # noqa: BLE001 - reported in the row
-            parts.append((config.model_type, None, None, None, f"{type(err).__name__}: {err}"[:500]))
+            parts.append((config.model_type, None, None, None, f"{type(err).__name__}: {err}"))
     return spark.createDataFrame(
         parts, "model_type string, accuracy double, macro_f1 double, weighted_f1 double, error string")
 
@@ -375,7 +377,7 @@ PERMUTATION_GROUP = 10_000
 
 def permutation_importance(df: DataFrame, model: LogModel, names: list[str], repeats: int = 10, seed: int = 42,
                            label: str = "root_cause_label", key: str = "log_id",
-                           per_class: bool = True, digits: int | None = 6) -> DataFrame:
+                           per_class: bool = True, digits: int | None = None) -> DataFrame:
     """Rows (label, feature, importance): the mean drop of the score when one feature is shuffled.
 
     ``per_class`` uses the one-vs-rest area of each class; otherwise accuracy,

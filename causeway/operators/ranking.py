@@ -3,7 +3,8 @@
 A group (a class) may hold a third of all rows. Rows are ordered by a salted
 hash; the leading hash digits cut each group into many small buckets. Counting
 the buckets gives every bucket's offset, so ranks are only formed inside
-buckets, in parallel. Keys identify rows: they must be unique and not null.
+buckets, in parallel. Keys identify rows: they must be unique and not null. Rows
+without a group are a group of their own.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import sized_broadcast
+from ..functions.columns import null_safe_join
 
 # Rows a bucket should hold at most, were all rows in one group.
 BUCKET_ROWS = 100_000
@@ -21,7 +22,7 @@ BUCKET_ROWS = 100_000
 
 def bucket_digits(n_rows: int) -> int:
     """Leading hex digits of the hash that name a bucket: 16 times the buckets for each digit."""
-    return max(1, min(6, math.ceil(math.log(max(n_rows, 1) / BUCKET_ROWS, 16))))
+    return max(1, min(12, math.ceil(math.log(max(n_rows, 1) / BUCKET_ROWS, 16))))
 
 
 def hash_order(key: Column, seed: int) -> Column:
@@ -49,8 +50,7 @@ def hash_rank(df: DataFrame, group: str, key: str, seed: int, out: str, n_rows:
     ordered = _with_order(df, key, seed, n_rows)
     offsets = _buckets(ordered.select(group, "_bucket"), group).drop("size")
     inside = Window.partitionBy(group, "_bucket").orderBy("_order", key)
-    return (ordered.withColumn("_rank", F.row_number().over(inside))
-            .join(sized_broadcast(offsets, 200_000), [group, "_bucket"])
+    return (null_safe_join(ordered.withColumn("_rank", F.row_number().over(inside)), offsets, [group, "_bucket"])
             .withColumn(out, F.col("before") + F.col("_rank"))
             .drop("_order", "_bucket", "_rank", "before"))
 
@@ -64,19 +64,18 @@ def first_by_hash(df: DataFrame, group: str, key: str, seed: int, quotas: DataFr
     their bucket alone, without a shuffle.
     """
     ordered = _with_order(df, key, seed, n_rows)
-    cut = (_buckets(ordered.select(group, "_bucket"), group).join(quotas, group)
+    cut = (null_safe_join(_buckets(ordered.select(group, "_bucket"), group), quotas, [group])
            .filter((F.col("before") < F.col("quota")) & (F.col("before") + F.col("size") >= F.col("quota")))
            .select(group, F.col("_bucket").alias("_cut"), (F.col("quota") - F.col("before")).alias("_take")))
-    cut = sized_broadcast(cut)
     inside = Window.partitionBy(group).orderBy("_order", key)
-    edge = (ordered.select(group, key, "_order", "_bucket").join(cut, group)
+    edge = (null_safe_join(ordered.select(group, key, "_order", "_bucket"), cut, [group])
             .filter(F.col("_bucket") == F.col("_cut"))
             .withColumn("_rank", F.row_number().over(inside)))
-    last = sized_broadcast(edge.filter(F.col("_rank") == F.col("_take"))
-                           .select(group, F.col("_order").alias("_last"), F.col(key).alias("_last_key")))
+    last = edge.filter(F.col("_rank") == F.col("_take")).select(
+        group, F.col("_order").alias("_last"), F.col(key).alias("_last_key"))
     before_or_at = (F.col("_order") < F.col("_last")) | (
         (F.col("_order") == F.col("_last")) & (F.col(key) <= F.col("_last_key")))
     # A group with quota 0 has no cut: none of its rows is taken.
-    return (ordered.join(last, group, "left")
+    return (null_safe_join(ordered, last, [group], "left")
             .withColumn(out, F.coalesce(before_or_at, F.lit(False)))
             .drop("_order", "_bucket", "_last", "_last_key"))

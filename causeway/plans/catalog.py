@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import evidence, scalar, text
 from ..operators import diagnose, evaluate, features, mining, model, profile, summary
 from ..rules import DEFAULT_PACKS
-from ..session import materialize, scratch_path, settle, spread
+from ..session import materialize, scratch_path
 from ..sources import fixture, logs as log_io
 from ..streaming import scoring
 from . import reports
@@ -25,8 +25,10 @@ LABELS = DEFAULT_PACKS.labels
 RC = "root_cause_label"
 c = F.col
 
-# Sizes used by the model queries; the operators' own defaults are larger.
-TREES, DEPTH, ROUNDS = 20, 10, 5
+# Labelled rows the model queries fit on, the first by hash: a bound, not a share.
+FIT_ROWS = 4_000
+# Boosting rounds of the queries; one binary model per class and round makes the operator's 100 take too long for a check.
+ROUNDS = 5
 FEATURES = model.FeatureConfig(max_features=100)
 
 
@@ -48,7 +50,7 @@ def preds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    return fixture.dealt(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
 
 
 def cm(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,13 +271,16 @@ def stratified_folds(spark, sf):
 # --- models ------------------------------------------------------------------
 
 def _config(kind: str) -> model.ModelConfig:
-    return model.ModelConfig(model_type=kind, tune=False, logistic_max_iter=50, forest_trees=TREES,
-                             forest_max_depth=DEPTH, boost_rounds=ROUNDS, boost_max_depth=3)
+    return model.ModelConfig(model_type=kind, tune=False, boost_rounds=ROUNDS)
+
+
+def _to_fit(rows: DataFrame) -> DataFrame:
+    return rows.orderBy(F.md5("log_id"), "log_id").limit(FIT_ROWS)
 
 
 def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
     rows = materialize(features.stratified_split(valid(spark, sf), test=0.3), "split")
-    return rows.filter("not is_test").drop("is_test"), rows.filter("is_test").drop("is_test")
+    return _to_fit(rows.filter("not is_test").drop("is_test")), rows.filter("is_test").drop("is_test")
 
 
 def _scored(spark, sf, kind: str) -> tuple[model.LogModel, DataFrame]:
@@ -358,7 +363,7 @@ def compare_models(spark, sf):
 
 @query
 def feature_importance(spark, sf):
-    fitted = model.train(valid(spark, sf), _config(model.RANDOM_FOREST), FEATURES)
+    fitted = model.train(_to_fit(valid(spark, sf)), _config(model.RANDOM_FOREST), FEATURES)
     return rounded(model.feature_importance(fitted, spark), "importance")
 
 
@@ -367,9 +372,9 @@ def score_stream(spark, sf):
     rows = logs(spark, sf)
     source, out = scratch_path(spark, "arriving"), scratch_path(spark, "scored")
     rows.drop(RC).repartition(4).write.parquet(source)
-    fitted = model.train(rows.filter(profile.scorable()), _config(model.LOGISTIC), FEATURES)
+    fitted = model.train(_to_fit(rows.filter(profile.scorable())), _config(model.LOGISTIC), FEATURES)
     stream = scoring.read_log_stream(spark, source, schema=rows.drop(RC).schema)
-    for q in scoring.score_stream(stream, fitted, out, scratch_path(spark, "progress"), once=True):
+    for q in scoring.score_stream(stream, fitted, out, scratch_path(spark, "rejected"), scratch_path(spark, "progress"), once=True):
         q.awaitTermination()
     return spark.read.parquet(out).select("log_id", "prediction", F.round("confidence", 6).alias("confidence"),
                                           c("summary.summary").alias("summary"))
@@ -460,7 +465,7 @@ def category_profile(spark, sf):
 
 
 def _phrases(spark, sf) -> DataFrame:
-    return settle(mining.key_phrases(logs(spark, sf)), "phrases")
+    return materialize(mining.key_phrases(logs(spark, sf)), "phrases")
 
 
 def _present(spark, sf) -> DataFrame:
@@ -567,7 +572,7 @@ def confused_pairs(spark, sf):
 
 @query
 def rank_classes(spark, sf):
-    return rounded(evaluate.rank_classes(settle(evaluate.per_class_metrics(cm(spark, sf)), "per-class")), "f1")
+    return rounded(evaluate.rank_classes(materialize(evaluate.per_class_metrics(cm(spark, sf)), "per-class")), "f1")
 
 
 # --- diagnosis ---------------------------------------------------------------
@@ -600,7 +605,7 @@ def extreme_classes(spark, sf):
 
 def _importance(spark, sf) -> DataFrame:
     """Per label: the share of its messages that contain a phrase, as the importance of the phrase."""
-    return settle(mining.key_phrases(logs(spark, sf)).select(
+    return materialize(mining.key_phrases(logs(spark, sf)).select(
         "label", c("phrase").alias("feature"), (c("n") / c("total").cast("double")).alias("importance"), "n"), "importance")
 
 
@@ -630,7 +635,7 @@ def common_features(spark, sf):
 
 @query
 def recommendations(spark, sf):
-    table = settle(cm(spark, sf), "confusion")
+    table = materialize(cm(spark, sf), "confusion")
     accuracy = evaluate.overall_metrics(table).filter("metric = 'accuracy'").select(c("value").alias("accuracy"))
     top = diagnose.top_misclassifications(table)
     common = diagnose.common_features(diagnose.top_features_per_class(_importance(spark, sf)))
@@ -639,8 +644,8 @@ def recommendations(spark, sf):
 
 @query
 def error_patterns(spark, sf):
-    table = settle(cm(spark, sf), "confusion")
-    top = settle(diagnose.top_misclassifications(table), "top")
+    table = materialize(cm(spark, sf), "confusion")
+    top = materialize(diagnose.top_misclassifications(table), "top")
     return diagnose.error_patterns(diagnose.class_error_rate(table), top, _global_importance(_importance(spark, sf)))
 
 

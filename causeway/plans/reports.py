@@ -9,14 +9,14 @@ from ..operators import diagnose, evaluate, mining
 from ..operators.features import stratified_split
 from ..operators.model import FeatureConfig, LogModel, ModelConfig, feature_importance, permutation_importance, score, train
 from ..rules import DEFAULT_PACKS, RulePacks
-from ..session import materialize, settle
+from ..session import materialize
 from ..sources.logs import write_json_report
 
 
 def category_report(logs: DataFrame, packs: RulePacks = DEFAULT_PACKS, path: str | None = None) -> DataFrame:
     """The category report of a log table. The profile (one row per label) is computed once for
     all sections."""
-    report = mining.category_report(settle(mining.category_profile(logs, packs), "category-profile"))
+    report = mining.category_report(materialize(mining.category_profile(logs, packs), "category-profile"))
     if path:
         write_json_report(report, path)
     return report
@@ -44,17 +44,16 @@ def insights(scored: DataFrame, model: LogModel, label: str = "root_cause_label"
     """Rows (section, name, other, value, note): accuracy, error rates, confusions, importance,
     recommendations and patterns of scored rows.
 
-    Importance per class is measured for the listed features, by default the
-    20 with the highest importance in the model.
+    Importance per class is measured for the listed features, by default all.
     """
     spark = scored.sparkSession
-    cm = settle(evaluate.confusion(scored, label, "prediction"), "confusion")
-    rates = settle(diagnose.class_error_rate(cm), "rates")
-    top = settle(diagnose.top_misclassifications(cm), "confusions")
+    cm = materialize(evaluate.confusion(scored, label, "prediction"), "confusion")
+    rates = materialize(diagnose.class_error_rate(cm), "rates")
+    top = materialize(diagnose.top_misclassifications(cm), "confusions")
     pairs = diagnose.challenging_pairs(top)
     accuracy = evaluate.overall_metrics(cm).filter("metric = 'accuracy'").select(F.col("value").alias("accuracy"))
     importance = feature_importance(model, spark)
-    listed = features or [r["feature"] for r in importance.limit(20).collect()]
+    listed = features or [r["feature"] for r in importance.collect()]
     per_class = permutation_importance(scored.drop("prediction", "probability", "confidence"), model, listed, repeats,
                                        model.config.seed, label, key)
     best = diagnose.top_features_per_class(per_class)

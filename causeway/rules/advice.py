@@ -1,95 +1,11 @@
-"""Advisory wording of the default taxonomy (free text, replaceable by callers).
+"""Default advisory wording, the same short text for every label. Callers put their own into a pack.
 
 Nothing here is computed on: the texts are attached to summaries and profiles.
 """
 
-ACTIONS = {
-    "RC-01": ["Confirm that the key or token in use is still valid",
-              "Inspect how callers build the authorization header",
-              "Look for allowlist or blocklist entries that match the caller",
-              "Check that the identity provider is up"],
-    "RC-02": ["Raise the pool size if the database has headroom",
-              "Find the slowest queries and tune them",
-              "Look at CPU, memory and locks on the database host",
-              "Give every query a time limit",
-              "Retry connection attempts with a delay"],
-    "RC-03": ["Check the status page and health of the upstream system",
-              "Put a circuit breaker in front of the call",
-              "Serve a fallback answer while it is down",
-              "Alert on the error rate of the dependency",
-              "Open a ticket with the upstream owner"],
-    "RC-04": ["Compare the configured limit with normal traffic",
-              "Make clients back off exponentially",
-              "Find the callers that use most of the quota",
-              "Lift the limit where the traffic is legitimate",
-              "Set limits per client"],
-    "RC-05": ["Compare the rejected record with the validation rules",
-              "Compare table constraints with what producers send",
-              "Clean input where it enters the system",
-              "Log the field and value of each rejected record",
-              "Document required fields for API users"],
-    "RC-06": ["List the roles and grants of the account involved",
-              "Compare the denied request with the access policy",
-              "Trace what else the account did",
-              "Reduce grants to what the work needs",
-              "Triage the matching security alerts"],
-    "RC-07": ["Chart memory, disk and handle usage of the host",
-              "Scale out when usage nears the limit",
-              "Free space or handles on a schedule",
-              "Check the process for leaks",
-              "Raise the limit if the workload has grown"],
-    "RC-08": ["Test routes and reachability between the hosts",
-              "Chart loss and latency of the path",
-              "Run the infrastructure health checks",
-              "Call in network operations",
-              "Add a redundant path"],
-}
-ACTIONS_DEFAULT = ["Read the message and its surrounding log lines",
-                   "Search the logs of the service for the same message",
-                   "Chart the system metrics at the time of the message"]
-
-IMPACT = {
-    "RC-01": "Affected callers cannot use the service",
-    "RC-02": "Slow responses up to a full outage",
-    "RC-03": "Functions that need the upstream system are unavailable",
-    "RC-04": "Some clients see delayed or refused requests for a while",
-    "RC-05": "The rejected records are not processed",
-    "RC-06": "Data may have been exposed to an unauthorized party",
-    "RC-07": "The service slows down or stops",
-    "RC-08": "Many services may be unreachable",
-}
-IMPACT_DEFAULT = "Depends on the kind of error"
-
-CATEGORY_TEXT = {
-    "RC-01": "Callers whose credentials, tokens, keys or permissions were not accepted.",
-    "RC-02": "The database could not serve a connection or a query in time.",
-    "RC-03": "A system the service depends on did not answer properly.",
-    "RC-04": "More requests arrived than a limit or quota allows.",
-    "RC-05": "Input data broke a schema, format or constraint.",
-    "RC-06": "An action was blocked or flagged by a security policy.",
-    "RC-07": "A host or process ran out of memory, disk, handles or CPU.",
-    "RC-08": "Packets, names or secure sessions did not get through the network.",
-}
-
-ISSUES = {
-    "RC-01": ["Tokens that expired or were revoked", "Absent or badly formed auth headers",
-              "Accounts without the needed permission", "Rejected API keys",
-              "Caller address outside the allowlist"],
-    "RC-02": ["Pool too small for the load", "Long queries holding connections",
-              "Overloaded database host", "Broken path to the database",
-              "Connections that are never returned"],
-    "RC-03": ["Outage or slowness of a third party", "Broken path between services",
-              "Limits imposed by the upstream system", "Breaking API change upstream",
-              "Rejected credentials at the third party"],
-    "RC-04": ["A client sending far too many requests", "Limits set too low",
-              "Attack traffic", "Genuine peaks above capacity", "Storms of retries"],
-    "RC-05": ["Incomplete or damaged input", "Schemas that drifted apart",
-              "Absent required fields", "Wrong data types", "Broken business rules"],
-    "RC-06": ["Access above the level of the account", "Wrong policy settings",
-              "Wrong role assignments", "Hostile activity", "Stolen sessions or tokens"],
-    "RC-07": ["Memory leaks", "Volumes without free space", "Exhausted file handles",
-              "Caches evicting under pressure", "Hosts too small for the workload"],
-    "RC-08": ["Failed network equipment", "Name servers down or misconfigured",
-              "Certificates that expired or fail checks", "Congested links",
-              "Firewall rules that block wanted traffic"],
-}
+ACTIONS = ["Note since when it occurs and which services report it",
+           "Compare with the last change rolled out to them",
+           "Hand the evidence to the owner of the first service affected"]
+IMPACT = "As wide as the set of services that report it"
+CATEGORY_TEXT = "The examples and phrases below show what its logs have in common."
+ISSUES = ["What the examples of this category show"]

@@ -32,19 +32,19 @@ class Category:
 
 def _default_incidents() -> dict[str, Incident]:
     return {
-        label: Incident(title, sentence, severity, advice.IMPACT[label], ttr, advice.ACTIONS[label])
+        label: Incident(title, sentence, severity, advice.IMPACT, ttr, list(advice.ACTIONS))
         for label, (title, sentence, severity, ttr) in fv.INCIDENTS.items()
     }
 
 
 def _default_incident() -> Incident:
     title, sentence, severity, ttr = fv.INCIDENT_DEFAULT
-    return Incident(title, sentence, severity, advice.IMPACT_DEFAULT, ttr, advice.ACTIONS_DEFAULT)
+    return Incident(title, sentence, severity, advice.IMPACT, ttr, list(advice.ACTIONS))
 
 
 def _default_categories() -> dict[str, Category]:
     return {
-        label: Category(name, advice.CATEGORY_TEXT[label], phrases, types, advice.ISSUES[label])
+        label: Category(name, advice.CATEGORY_TEXT, phrases, types, list(advice.ISSUES))
         for label, (name, phrases, types) in fv.CATEGORIES.items()
     }
 

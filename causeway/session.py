@@ -7,11 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a side may have to be broadcast or turned into literals.
-SMALL_ROWS = 10_000
-
 
 def build_session(app: str = "causeway", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on."""
@@ -30,9 +25,18 @@ def build_session(app: str = "causeway", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach; a local one only where none is configured (tests)."""
+    """The folder all executors can reach: ``spark.checkpoint.dir``.
+
+    A local master without that setting (tests) gets a folder of its own; a
+    cluster without it is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or os.path.join(tempfile.gettempdir(), "causeway-shared")
+    if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="causeway-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -49,37 +53,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of an input that has fewer splits than there are cores.
-
-    A small file comes in one split, which would leave text work to one core.
-    Large inputs have more splits than cores and stay as they are, unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def settle(df: DataFrame, name: str, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Compute a small table once, for plans that read it several times.
-
-    Up to ``max_rows`` rows become a local table; a larger result is written
-    to the shared folder instead.
-    """
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return materialize(df, name)
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
-
-    The check fetches ``max_rows + 1`` rows at most. A larger ``df`` comes back
-    unmarked and takes part in an ordinary shuffle join.
-    """
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -14,8 +14,6 @@ from ..functions.text import string_array
 from ..operators.mining import category_scores
 from ..operators.profile import scorable
 from ..rules import DEFAULT_PACKS, RulePacks
-from ..session import spread
-
 SERVICES = ["kyc-service", "ml-inference", "oauth-handler", "data-export", "ingestion-service",
             "data-pipeline", "reporting-api", "transaction-validator", "db-pool", "payments-core",
             "cart-ui", "mail-relay"]
@@ -84,8 +82,13 @@ def logs_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("RC-0"), code.cast("string")).alias("root_cause_label"))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows of a test table over all cores: those tables are single files of one split."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def read_fixture_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs_from_events(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))
+    return logs_from_events(dealt(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
 def preds_from_logs(logs: DataFrame, packs: RulePacks = DEFAULT_PACKS) -> DataFrame:

@@ -43,10 +43,10 @@ def score_logs(df: DataFrame, model: LogModel, n: int = 3, packs: RulePacks = DE
     return summarize(ranked, packs=packs), bad
 
 
-def score_stream(stream: DataFrame, model: LogModel, path: str, checkpoint: str, fmt: str = "parquet",
-                 n: int = 3, packs: RulePacks = DEFAULT_PACKS, rejected_path: str | None = None,
+def score_stream(stream: DataFrame, model: LogModel, path: str, rejected_path: str, checkpoint: str,
+                 fmt: str = "parquet", n: int = 3, packs: RulePacks = DEFAULT_PACKS,
                  once: bool = False) -> list[StreamingQuery]:
-    """Start the queries that append scored (and, if asked for, rejected) rows to files.
+    """Start the two queries that append scored and rejected rows to files.
 
     Stateless: progress lives in the checkpoint folder, which must be shared.
     ``once`` processes what is there and stops.
@@ -59,7 +59,4 @@ def score_stream(stream: DataFrame, model: LogModel, path: str, checkpoint: str,
             writer = writer.trigger(availableNow=True)
         return writer.start(out)
 
-    queries = [start(scored, path, f"{checkpoint}/scored")]
-    if rejected_path:
-        queries.append(start(rejected, rejected_path, f"{checkpoint}/rejected"))
-    return queries
+    return [start(scored, path, f"{checkpoint}/scored"), start(rejected, rejected_path, f"{checkpoint}/rejected")]

@@ -70,12 +70,12 @@ def test_recommendations(spark, cm, importance):
 
 
 def test_patterns(spark, cm):
-    importance = spark.createDataFrame([("f1", 0.8), ("f2", 0.2)], "feature string, importance double")
+    importance = spark.createDataFrame([("hour_of_day", 0.07), ("tfidf_pool", 0.52), ("service", 0.41)], "feature string, importance double")
     rows = diagnose.error_patterns(diagnose.class_error_rate(cm), diagnose.top_misclassifications(cm), importance).collect()
     text = {r["type"]: r["description"] for r in rows}
     assert text["error_clustering"].endswith(": C") and "C is taken for A 3 times" in text["asymmetric_confusion"]
-    assert "f1 carries 80.0%" in text["feature_dominance"] and len(rows) == 3
-    flat = spark.createDataFrame([("f1", 0.3)], "feature string, importance double")
+    assert "tfidf_pool carries 52.0%" in text["feature_dominance"] and len(rows) == 3
+    flat = spark.createDataFrame([(f"t{i}", 0.25) for i in range(4)], "feature string, importance double")
     assert diagnose.error_patterns(diagnose.class_error_rate(cm), diagnose.top_misclassifications(cm), flat).filter(
         "type = 'feature_dominance'").count() == 0
 

@@ -11,8 +11,8 @@ def test_stream_equals_batch_and_routes_bad_rows(spark, sample, tmp_path):
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
     stream = scoring.read_log_stream(spark, str(tmp_path / "in"), schema=rows.schema, max_files=1)
     assert stream.isStreaming
-    for q in scoring.score_stream(stream, trained, str(tmp_path / "out"), str(tmp_path / "check"),
-                                  rejected_path=str(tmp_path / "bad"), once=True):
+    for q in scoring.score_stream(stream, trained, str(tmp_path / "out"), str(tmp_path / "bad"),
+                                  str(tmp_path / "check"), once=True):
         q.awaitTermination()
     columns = ["log_id", "prediction", "confidence", "top_n_predictions", "summary"]
     streamed = spark.read.parquet(str(tmp_path / "out")).select(columns).orderBy("log_id").collect()

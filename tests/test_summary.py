@@ -1,7 +1,7 @@
+import dataclasses
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from causeway.operators import summary
 from causeway.rules import DEFAULT_PACKS
@@ -23,22 +23,34 @@ def test_evidence_of_each_label(spark, label, message, match):
 
 
 def test_full_sentence(spark):
-    s = summarized(spark, "RC-01", 0.92, "WARN [gate] 401: bearer token missing, client_3", "gate", "High", "2024-09-06T10:22:00Z")
-    assert s["summary"] == ("Authentication or authorization failure detected. Evidence includes: bearer token missing; "
-                            "error_codes: 401; services: gate Context: Service: gate, Severity: High, Time: 2024-09-06 10:22:00 UTC.")
-    assert s["severity"] == "High" and s["root_cause"] == "RC-01" and s["confidence"] == 0.92
-    assert s["key_evidence"] == ["bearer token missing", "error_codes: 401", "services: gate", "entities: client_3"]
-    assert s["recommended_actions"] == DEFAULT_PACKS.incidents["RC-01"].actions and s["time_to_resolution"] == "15-30 minutes"
-
-
-def test_low_confidence_and_unknown_label(spark):
-    assert summarized(spark, "RC-03", 0.35, "x", "s", "High", None)["severity"] == "High (Low confidence prediction)"
-    assert summarized(spark, "RC-03", 0.5, "x", "s", "High", None)["severity"] == "High"
-    s = summarized(spark, "RC-99", 0.75, "Some error", "s", "Medium", "2024-01-01T00:00:00Z")
-    assert s["summary"].startswith("Root cause identified: Evidence includes: Log excerpt: Some error...")
-    assert s["root_cause"] == "RC-99" and s["severity"] == "Medium" and len(s["recommended_actions"]) == 3
-    df = summary.template_lookup(spark.createDataFrame([("RC-99",)], "prediction string"))
-    assert df.first()["incident"]["title"] == "Root Cause RC-99"
+    s = summarized(spark, "RC-07", 0.61, "memory limit reached on box, 503 sent to user_88", "cache", "Low", "2023-02-28T23:59:59Z")
+    title = DEFAULT_PACKS.incidents["RC-07"]
+    assert s["summary"].startswith(title.sentence.split(" {")[0]) and s["summary"].endswith(
+        " Context: Service: cache, Severity: Low, Time: 2023-02-28 23:59:59 UTC.")
+    assert "error_codes: 503" in s["key_evidence"] and "entities: user_88" in s["key_evidence"]
+    assert (s["root_cause"], s["confidence"], s["severity"]) == ("RC-07", 0.61, title.severity)
+    assert s["recommended_actions"] == title.actions and s["time_to_resolution"] == title.time_to_resolution
+
+
+@pytest.mark.parametrize("confidence, marked", [(0.0, True), (0.499, True), (0.5, False), (1.0, False)])
+def test_low_confidence_is_marked(spark, confidence, marked):
+    plain = DEFAULT_PACKS.incidents["RC-05"].severity
+    got = summarized(spark, "RC-05", confidence, "m", "s", None, None)["severity"]
+    assert got == (plain + " (Low confidence prediction)" if marked else plain)
+
+
+def test_label_outside_the_pack_takes_the_default(spark):
+    other, given = DEFAULT_PACKS.incident_default, summarized(spark, "disk-array", 0.9, "spindle 4", None, None, None)
+    assert given["recommended_actions"] == other.actions and given["severity"] == other.severity
+    assert given["impact"] == other.impact and given["root_cause"] == "disk-array"
+
+
+def test_pack_texts_are_an_input(spark):
+    own = dataclasses.replace(DEFAULT_PACKS.incidents["RC-02"], actions=["call the night shift"], impact="till closed")
+    packs = dataclasses.replace(DEFAULT_PACKS, incidents={"RC-02": own})
+    row = spark.createDataFrame([("RC-02", 0.9, "x", "s", None, None)], SCHEMA)
+    s = summary.summarize(row, packs=packs).first()["summary"]
+    assert s["recommended_actions"] == ["call the night shift"] and s["impact"] == "till closed"
 
 
 def test_context_skips_what_is_not_given(spark):
