@@ -24,7 +24,8 @@ WINDOW, STRIDE = 40, 20
 PER_LABEL = 700  # labelled rows of each label to fit on
 FIRST_WINDOWS = 10_000  # windows of the first round
 ROUNDS = 5
-BATCH = 256
+BATCH = 64
+LEAST_UPDATES = 40  # of a round: small samples are gone through again
 VOCABULARY = 4_000
 DROP_WORD = 0.5
 PREDICTED = 0.7
@@ -84,8 +85,9 @@ def fit_toxicity(texts: list[str], labels: list[int], rounds: int = ROUNDS, firs
     adam = Adam(model.p, 0.01)
 
     def train(chosen: np.ndarray) -> None:
-        chosen = r.permutation(chosen)
-        n_bad = max(1, int(y[owner[chosen]].sum()))
+        n_all, n_bad = len(chosen), max(1, int(y[owner[chosen]].sum()))
+        passes = -(-LEAST_UPDATES * BATCH // len(chosen))
+        chosen = np.concatenate([r.permutation(chosen) for _ in range(passes)])
         for at in range(0, len(chosen), BATCH):
             some = chosen[at:at + BATCH]
             used, local = np.unique(windows[some], return_inverse=True)
@@ -94,7 +96,7 @@ def fit_toxicity(texts: list[str], labels: list[int], rounds: int = ROUNDS, firs
                 used, local = used[1:], local - 1
             table = model.table([words[k] for k in used], r.random(len(used)) < DROP_WORD)
             target = y[owner[some]]
-            weight = np.where(target > 0, (len(chosen) - n_bad) / n_bad, 1.0).astype(np.float32)
+            weight = np.where(target > 0, max(1, n_all - n_bad) / n_bad, 1.0).astype(np.float32)
             adam.update(model.p, model.gradients(table, local, target, weight))
 
     train(r.choice(len(windows), min(first_windows, len(windows)), replace=False))
