@@ -193,6 +193,20 @@ def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarit
             .mapInArrow(compare, "a long, b long, similarity double").filter(F.col("similarity") >= similarity))
 
 
+def roots(edges: DataFrame) -> DataFrame:
+    """(id, label) for edges that lead from each node ``a`` to one smaller node ``b``: where its path ends.
+
+    Roots themselves have no row. Paths halve in length with every round.
+    """
+    step = cut(edges.select(F.col("a").alias("id"), F.col("b").alias("label")))
+    while True:
+        up = step.select(F.col("id").alias("label"), F.col("label").alias("up"))
+        step = cut(step.join(up, "label", "left").select("id", F.coalesce("up", "label").alias("label"),
+                                                         F.col("up").isNotNull().alias("moved")))
+        if step.filter("moved").isEmpty():
+            return step.select("id", "label")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, label): each node of the edges (a, b) with the smallest node it is connected to.
 
@@ -273,7 +287,7 @@ def _block_pairs(open_: DataFrame, nodes: DataFrame, docs: DataFrame, similarity
     not its pairs.
     """
     bag = bags_of(open_.select("id").distinct(), nodes, docs, key, text)
-    full = (open_.join(bag, "id").join(nodes.select("id", F.col("bands").alias("keys")), "id")
+    full = (open_.join(bag.join(nodes.select("id", F.col("bands").alias("keys")), "id"), "id")
             .withColumn("n_left", F.ceil((F.col("n") - F.col("most")) / BLOCK_NODES).cast("int"))
             .withColumn("n_right", F.ceil(F.col("n") / BLOCK_NODES).cast("int"))
             .withColumn("place", F.abs(F.xxhash64("id", "bucket"))))
@@ -313,7 +327,7 @@ def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFra
     # Each node with its most similar head first.
     first = cut(promising(stars).groupBy("a").agg(F.max(F.struct("equal", -F.col("b"))).alias("m"))
                 .select("a", (-F.col("m")["col2"]).alias("b")))
-    labels = components(similar_pairs(first, nodes, docs, similarity, key, text))
+    labels = roots(similar_pairs(first, nodes, docs, similarity, key, text))
     # What is left: pairs of one bucket in different classes.
     placed = cut(shared.join(labels, "id", "left").select("id", "band", "bucket", F.coalesce("label", "id").alias("label")))
     several = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
