@@ -18,7 +18,7 @@ from .common import BLANK_WORD, cut
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # words of the mix, as a multiple of all words
 LIMIT = 2  # epochs of a source at most
-RANGE_ROWS = 20_000
+RANGE_ROWS = 5_000
 OUT = ("size", "source_size", "target", "taken")
 
 
