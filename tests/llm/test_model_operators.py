@@ -83,6 +83,7 @@ def brute_classes(rows):
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, small):
     monkeypatch.setattr(near_dup, "SMALL_BUCKET", small)
     monkeypatch.setattr(near_dup, "BLOCK_NODES", 8)
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 900)
     r = random.Random(9)
     rows = []
     for g in range(4):
