@@ -371,7 +371,7 @@ def _block_pairs(large: DataFrame, nodes: DataFrame, bag: DataFrame, similarity:
 
 def _several(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of the buckets that hold several classes: (id, band, bucket, label), rows and shingles of the bucket and of its largest class."""
-    placed = cut(shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")))
+    placed = shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     whole = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("own_width").alias("width"))
              .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("width").alias("width"),
                                     F.max(F.struct("n", "label", "width")).alias("m")).filter("m.n < n")
@@ -414,7 +414,8 @@ def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFra
     # Large buckets with several classes: most of these join at their nearest pairs.
     large = _several(shared, labels).filter(F.col("n") > SMALL_BUCKET)
     near = similar_pairs(_nearest_pairs(large, register), bag, similarity)
-    joined = components(label_of(near.select("a", "b")))
+    joined = roots(label_of(near.select("a", "b")).filter("a <> b").groupBy(F.greatest("a", "b").alias("a"))
+                   .agg(F.min(F.least("a", "b")).alias("b")))
     labels = cut(shared.select("id").distinct().join(labels, "id", "left")
                  .select("id", F.coalesce("label", "id").alias("label"))
                  .join(joined.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left")
