@@ -5,22 +5,23 @@ processes with their counts as rates; each arrival picks a register, a register
 keeps its first arrival, and the process ends once no arrival can change a
 register. Two registers are equal with the probability Jaccard similarity of
 the bags. Bands of registers give candidates, and the similarity of a candidate
-pair is computed exactly from both bags.
-
-Equal word sequences are one node from the start. Per band bucket, nodes are
-compared with the bucket's first node; whoever passes joins its class. Buckets
-that then still hold several classes get the remaining comparisons, between
-classes only. In large ones, each node outside the largest class first tries the
-node of another class whose registers are nearest, which leaves few classes;
-the rest is compared completely, in blocks that give links instead of pairs. So
-a group of thousands of copies costs few comparisons each, and no pair that
-shares a bucket and is similar enough ends up in different classes.
+pair is computed from both bags.
+
+Equal word sequences are one node from the start. The nodes of a band bucket go
+to one place with their bags, which returns the links that join what belongs
+together, not its pairs. A bucket of many shingles is dealt twice to chunks of
+bounded size, by two hashes: copies in one chunk of either deal join, so a group
+of thousands costs one chunk of comparisons each. Where such a bucket then still
+holds several classes, the nodes outside the largest one meet all others in
+blocks. So no pair that shares a bucket and is similar enough ends up in
+different classes.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +34,10 @@ from .common import cut, text_key
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
-# A pair of similarity 0.8 has fewer equal registers than this (of 120) in about three of a million cases.
-LEAST_EQUAL = 76
 CHUNK_ELEMENTS = 1 << 18
-# Buckets up to this size give pairs; larger ones are compared in blocks of about so many nodes a side by their
-# registers, and of about so many shingles a side by their bags.
-SMALL_BUCKET = 8
-BLOCK_NODES = 2048
+# Chunks of buckets, and each side of a block, hold about so many shingles.
 BLOCK_SHINGLES = 1 << 18
+LINKS_PER_BATCH = 1 << 14
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,7 +107,7 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
 
 
 def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (key, text_key, digest, width, registers, bands): ``width`` distinct shingles; null but for the keys where a text has no words."""
+    """Rows (key, text_key, digest, width, bands): ``width`` distinct shingles; null but for the keys where a text has no words."""
     own = docs.select(F.col(key).cast("long").alias("key"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +116,7 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 rows = batch.slice(at, 512)
                 yield _sketched(rows.column(0), rows.column(1), word_lists(rows.column(2).to_pylist()))
 
-    return own.mapInArrow(run, "key long, text_key long, digest binary, width int, registers array<tinyint>, bands array<long>")
+    return own.mapInArrow(run, "key long, text_key long, digest binary, width int, bands array<long>")
 
 
 def _sketched(keys: pa.Array, text_keys: pa.Array, lists: list[list[str]]) -> pa.RecordBatch:
@@ -127,7 +124,6 @@ def _sketched(keys: pa.Array, text_keys: pa.Array, lists: list[list[str]]) -> pa
     digests = [hashlib.blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() if w else None
                for w in lists]
     widths: list = [None] * n
-    registers: list = [None] * n
     bands: list = [None] * n
     some, held = [], 0
 
@@ -135,10 +131,8 @@ def _sketched(keys: pa.Array, text_keys: pa.Array, lists: list[list[str]]) -> pa
         bags = [shingle_bags(lists[i], SHINGLE) for i in some]
         owner = np.repeat(np.arange(len(some)), [len(b[0]) for b in bags])
         sig = signatures(np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags]), owner, len(some))
-        for i, bag, s, k in zip(some, bags, sig, band_keys(sig)):
-            widths[i] = len(bag[0])
-            # A byte of each register is enough to count equal ones: it can only make a pair look closer.
-            registers[i], bands[i] = (s & np.uint64(0xFF)).astype(np.uint8).view(np.int8), k
+        for i, bag, k in zip(some, bags, band_keys(sig)):
+            widths[i], bands[i] = len(bag[0]), k
         some.clear()
 
     for i, w in enumerate(lists):
@@ -152,15 +146,23 @@ def _sketched(keys: pa.Array, text_keys: pa.Array, lists: list[list[str]]) -> pa
         flush()
     return pa.RecordBatch.from_arrays(
         [keys.cast(pa.int64()), text_keys.cast(pa.int64()), pa.array(digests, pa.binary()),
-         pa.array(widths, pa.int32()), pa.array(registers, pa.list_(pa.int8())), pa.array(bands, pa.list_(pa.int64()))],
-        names=["key", "text_key", "digest", "width", "registers", "bands"])
+         pa.array(widths, pa.int32()), pa.array(bands, pa.list_(pa.int64()))],
+        names=["key", "text_key", "digest", "width", "bands"])
 
 
-def bags_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, elements, counts, short, short_counts) of the nodes ``ids``, made from their texts; no counts where all are one.
+def shorter(e: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bag with the upper half of each element; elements that fall together add up.
 
-    ``short`` is the bag with 32 bits of each element.
+    Two texts of a thousand shingles share one more by chance in one of 4,000
+    cases, which moves their similarity by a thousandth.
     """
+    half = (e >> np.uint64(32)).astype(np.uint32)  # sorted like the elements
+    starts = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]]))
+    return half[starts], np.add.reduceat(c, starts)
+
+
+def bags_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, elements, counts) of the nodes ``ids``, made from their texts: elements of 32 bits; no counts where all are one."""
     places = nodes.select("id", "key", "text_key").join(ids, "id")
     source = docs.select(F.col(key).cast("long").alias("d_key"), text_key(F.col(text)).alias("d_text"), F.col(text).alias("t"))
     texts = source.join(places, source["d_key"].eqNullSafe(places["key"]) & (source["d_text"] == places["text_key"]))
@@ -169,60 +171,21 @@ def bags_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: s
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 rows = batch.slice(at, 512)
-                made = [shingle_bags(w, SHINGLE) for w in word_lists(rows.column(1).to_pylist())]
-                short = [shorter(e, c) for e, c in made]
+                made = [shorter(*shingle_bags(w, SHINGLE)) for w in word_lists(rows.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).cast(pa.int64()),
-                     *(pa.array(x, pa.binary()) for bags in (made, short) for x in (
-                         [e.tobytes() for e, _ in bags], [b"" if c.max() == 1 else c.astype("<u4").tobytes() for _, c in bags]))],
-                    names=["id", "elements", "counts", "short", "short_counts"])
+                    [rows.column(0).cast(pa.int64()), pa.array([e.tobytes() for e, _ in made], pa.binary()),
+                     pa.array([b"" if c.max() == 1 else c.astype("<u4").tobytes() for _, c in made], pa.binary())],
+                    names=["id", "elements", "counts"])
 
     # Rows that repeat a key and text give one bag.
-    return cut(texts.select("id", "t").mapInArrow(bags, "id long, elements binary, counts binary, short binary, short_counts binary").dropDuplicates(["id"]))
+    return cut(texts.select("id", "t").mapInArrow(bags, "id long, elements binary, counts binary").dropDuplicates(["id"]))
 
 
-def shorter(e: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A bag with the upper half of each element; elements that fall together add up."""
-    half = (e >> np.uint64(32)).astype(np.uint32)  # sorted like the elements
-    starts = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]]))
-    return half[starts], np.add.reduceat(c, starts)
-
-
-def bag_from(elements: bytes, counts: bytes, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    e = np.frombuffer(elements, kind)
+def bag_from(elements: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    e = np.frombuffer(elements, "<u4")
     return e, np.frombuffer(counts, "<u4") if counts else np.ones(len(e), np.uint32)
 
 
-def similar_pairs(pairs: DataFrame, bag: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Of (a, b) node pairs those whose bags are similar enough, with their exact similarity."""
-    left = bag.select(F.col("id").alias("a"), F.col("elements").alias("a_e"), F.col("counts").alias("a_c"))
-    right = bag.select(F.col("id").alias("b"), F.col("elements").alias("b_e"), F.col("counts").alias("b_c"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            values = [probability_jaccard(*bag_from(*a), *bag_from(*b)) for a, b in zip(
-                zip(col["a_e"].to_pylist(), col["a_c"].to_pylist()), zip(col["b_e"].to_pylist(), col["b_c"].to_pylist()))]
-            yield pa.RecordBatch.from_arrays([col["a"], col["b"], pa.array(values, pa.float64())], names=["a", "b", "similarity"])
-
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "a_e", "a_c", "b_e", "b_c")
-            .mapInArrow(compare, "a long, b long, similarity double").filter(F.col("similarity") >= similarity))
-
-
-def roots(edges: DataFrame) -> DataFrame:
-    """(id, label) for edges that lead from each node ``a`` to one smaller node ``b``: where its path ends.
-
-    Roots themselves have no row. Paths halve in length with every round.
-    """
-    step = cut(edges.select(F.col("a").alias("id"), F.col("b").alias("label")))
-    while True:
-        up = step.select(F.col("id").alias("label"), F.col("label").alias("up"))
-        step = cut(step.join(up, "label", "left").select("id", F.coalesce("up", "label").alias("label"),
-                                                         F.col("up").isNotNull().alias("moved")))
-        if step.filter("moved").isEmpty():
-            return step.select("id", "label")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(id, label): each node of the edges (a, b) with the smallest node it is connected to.
 
@@ -252,67 +215,113 @@ def components(edges: DataFrame) -> DataFrame:
         labels = cut(labels.join(roots, "label").select("id", F.col("root").alias("label")))
 
 
-def block_links(table: pa.Table, similarity: float) -> pa.Table:
-    """Links between classes inside one block: the nodes of ``side`` 0 against those of ``side`` 1.
+def joined_labels(side: np.ndarray, start: np.ndarray, bags: list, similarity: float) -> np.ndarray:
+    """Labels after the nodes of side 0 have met those of side 1; side 2 is on both.
 
-    All of them share the bucket of band ``band``. A pair is compared in the
-    first band it shares, and only while its classes are still apart. Links
-    come back as pairs of labels, enough to join what belongs together. Side 2
-    is on both. Bags have elements of 32 bits: two texts of a thousand shingles
-    share one more by chance in one of 4,000 cases, which moves their similarity
-    by a thousandth.
+    A node is compared with all nodes that can still add a link: those of other
+    classes it has not met. A class is gone through before the next one is
+    begun, so whoever joined it leaves the comparisons of its members.
     """
-    col = {n: table.column(n).to_pylist() for n in ("side", "label", "short", "short_counts", "keys")}
-    band = table.column("band")[0].as_py()
-    side, label = np.array(col["side"]), np.array(col["label"], np.int64)
-    keys = np.array(col["keys"], np.int32)
-    bags = [bag_from(e, c, np.uint32) for e, c in zip(col["short"], col["short_counts"])]
-    other = np.flatnonzero(side > 0)
-    links: list[tuple[int, int]] = []
-    mine = np.flatnonzero(side != 1) if len(other) else []
-    if len(other):
-        # Shingles numbered in the block, so that a table of counts answers which of them a node shares.
-        kinds, number = np.unique(np.concatenate([e for e, _ in bags]), return_inverse=True)
-        own = np.split(number, np.cumsum([len(e) for e, _ in bags])[:-1])
-        flat = np.concatenate([own[i] for i in other])
-        weight = np.concatenate([bags[i][1] for i in other]).astype(np.float64)
-        starts = np.cumsum([0] + [len(own[i]) for i in other])[:-1]
-        totals = np.add.reduceat(weight, starts)
-        plain = np.maximum.reduceat(weight, starts) == 1
-        table_of = np.zeros(len(kinds))
-    for u in mine:
-        e, c = bags[u]
-        open_ = (label[other] != label[u]) & ((keys[other, :band] == keys[u, :band]).sum(axis=1) == 0)
+    label = start.copy()
+    mine, other = side != 1, side > 0
+    if len(label) <= 3:
+        for u in np.flatnonzero(mine):
+            for v in np.flatnonzero(other):
+                if label[u] != label[v] and probability_jaccard(*bags[u], *bags[v]) >= similarity:
+                    label[label == label[v]] = label[u]
+        return label
+    # Shingles numbered in the block, so that a table of counts answers which of them a node shares.
+    kinds, number = np.unique(np.concatenate([e for e, _ in bags]), return_inverse=True)
+    own = np.split(number, np.cumsum([len(e) for e, _ in bags])[:-1])
+    count_of = np.zeros(len(kinds))
+    total = np.array([c.sum() for _, c in bags], np.float64)
+    plain = np.array([c.max() == 1 for _, c in bags])
+    done, held = np.zeros(len(label), bool), np.zeros(len(label), bool)
+    current = None
+    while True:
+        left = np.flatnonzero(mine & ~done)
+        if not len(left):
+            return label
+        same = left[label[left] == current] if current is not None else left[:0]
+        u = same[0] if len(same) else left[0]
+        current, done[u] = label[u], True
+        open_ = other & (label != current)
+        if other[u]:
+            open_ &= ~done
         if not open_.any():
             continue
-        table_of[own[u]] = c
-        got = table_of[flat]
-        table_of[own[u]] = 0
-        # No similarity exceeds the share of either bag that the other one has.
+        if 2 * open_.sum() < held.sum() or (open_ & ~held).any():
+            held = open_.copy()
+            at = np.flatnonzero(held)
+            flat = np.concatenate([own[v] for v in at])
+            weight = np.concatenate([bags[v][1] for v in at]).astype(np.float64)
+            starts = np.cumsum([0] + [len(own[v]) for v in at])[:-1]
+        e, c = bags[u]
+        count_of[own[u]] = c
+        got = count_of[flat]
+        count_of[own[u]] = 0
         shared = np.add.reduceat(got, starts)
-        bound = np.minimum((shared + 1e-9) / c.sum(), np.add.reduceat(np.where(got > 0, weight, 0), starts) / totals)
-        if c.max() == 1:  # for two bags without repeats this is the similarity
-            bound = np.where(plain, shared / (len(e) + totals - shared), bound)
-        near = np.flatnonzero(open_ & (bound >= similarity))
+        if plain[u]:  # for two bags without repeats this is the similarity
+            bound = shared / (total[u] + total[at] - shared)
+        if not (plain[u] and plain[at].all()):
+            # No similarity exceeds the share of either bag that the other one has.
+            most = np.minimum((shared + 1e-9) / total[u], (np.add.reduceat(np.where(got > 0, weight, 0), starts) + 1e-9) / total[at])
+            bound = np.where(plain[at], bound, most) if plain[u] else most
+        near = np.flatnonzero(open_[at] & (bound >= similarity))
         for k in near[np.argsort(-bound[near], kind="stable")]:
-            v = other[k]
-            if label[u] != label[v] and (c.max() == 1 and plain[k] or probability_jaccard(e, c, *bags[v]) >= similarity):
-                links.append((int(label[u]), int(label[v])))
-                label[label == label[v]] = label[u]
-    return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
-
+            v = at[k]
+            if label[v] != current and (plain[u] and plain[v] or probability_jaccard(e, c, *bags[v]) >= similarity):
+                label[label == label[v]] = current
 
-def equal_registers(a: str, b: str):
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e))
 
+def links(dealt: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a > b: links between the labels that meet in the blocks (bucket, i, j) of ``dealt``."""
 
-def dealt_blocks(rows: DataFrame, n_left: Column, n_right: Column, columns: list[str]) -> DataFrame:
-    """Rows of open buckets dealt to the blocks (i, j) of their bucket.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+        a: list[int] = []
+        b: list[int] = []
+        for _, block in groupby(rows, lambda r: r[:3]):
+            _, _, _, side, label, elements, counts = zip(*block)
+            start = np.array(label, np.int64)
+            if (start == start[0]).all():
+                continue
+            end = joined_labels(np.array(side), start, [bag_from(*x) for x in zip(elements, counts)], similarity)
+            least = {}
+            for x, y in zip(start.tolist(), end.tolist()):
+                least[y] = min(x, least.get(y, x))
+            for x, y in set(zip(start.tolist(), end.tolist())):
+                if x != least[y]:
+                    a.append(x)
+                    b.append(least[y])
+            if len(a) >= LINKS_PER_BATCH:
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                a, b = [], []
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return (dealt.select("bucket", "i", "j", "side", "label", "elements", "counts")
+            .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def dealt_chunks(shared: DataFrame) -> DataFrame:
+    """Rows of the buckets dealt to chunks of bounded size, once where one chunk is enough, else twice by two hashes."""
+    n = F.ceil(F.col("width") / BLOCK_SHINGLES).cast("int")
+
+    def chunk(deal: int) -> Column:
+        return F.struct(F.pmod(F.xxhash64("id", F.lit(deal)), n).cast("int").alias("i"), F.lit(deal).alias("j"))
+    return (shared.withColumn("spot", F.explode(F.when(n > 1, F.array(chunk(0), chunk(1))).otherwise(F.array(chunk(0)))))
+            .select("bucket", "spot.*", "id", F.lit(2).alias("side"), F.col("id").alias("label")))
+
+
+def dealt_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of buckets with several classes dealt to the blocks (i, j) of their bucket.
 
     Nodes outside the largest class are side 0, all nodes are side 1, and side
     2 is both; every node of the one meets every node of the other in one block.
     """
-    placed = (rows.withColumn("n_left", n_left.cast("int")).withColumn("n_right", n_right.cast("int"))
+    placed = (rows.withColumn("n_left", F.ceil((F.col("width") - F.col("major_width")) / BLOCK_SHINGLES).cast("int"))
+              .withColumn("n_right", F.ceil(F.col("width") / BLOCK_SHINGLES).cast("int"))
               .withColumn("place", F.abs(F.xxhash64("id", "bucket"))))
     i, j = (F.col("place") % F.col("n_left")).cast("int"), (F.col("place") % F.col("n_right")).cast("int")
     left = F.transform(F.sequence(F.lit(0), F.col("n_right") - 1),
@@ -320,64 +329,17 @@ def dealt_blocks(rows: DataFrame, n_left: Column, n_right: Column, columns: list
     right = F.transform(F.sequence(F.lit(0), F.col("n_left") - 1),
                         lambda k: F.struct(F.lit(1).alias("side"), k.alias("i"), j.alias("j")))
     spots = F.when(F.col("label") != F.col("major"), F.concat(left, F.filter(right, lambda s: s["i"] != i))).otherwise(right)
-    return placed.select("bucket", *columns, F.explode(spots).alias("spot")).select("bucket", "spot.*", *columns)
-
-
-def nearest_nodes(table: pa.Table) -> pa.Table:
-    """For each node of side 0 the node of side 1 in another class with the most equal registers, if that leaves the similarity possible."""
-    side, ids, label = (table.column(n).to_numpy() for n in ("side", "id", "label"))
-    registers = table.column("registers").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-    mine, other = np.flatnonzero(side != 1), np.flatnonzero(side > 0)
-    found = []
-    for at in range(0, len(mine), 256) if len(other) else ():
-        some = mine[at:at + 256]
-        equal = np.zeros((len(some), len(other)), np.int16)
-        for column in registers.T:
-            equal += column[some, None] == column[None, other]
-        equal[label[some, None] == label[None, other]] = -1
-        best = equal.argmax(axis=1)
-        for u, k, e in zip(some, best, equal[np.arange(len(some)), best]):
-            if e >= LEAST_EQUAL:
-                found.append((int(ids[u]), int(ids[other[k]]), int(e)))
-    return pa.table({"u": pa.array([x[0] for x in found], pa.int64()), "v": pa.array([x[1] for x in found], pa.int64()),
-                     "equal": pa.array([x[2] for x in found], pa.int32())})
-
-
-def _nearest_pairs(large: DataFrame, register: DataFrame) -> DataFrame:
-    """(a, b), a > b: each node outside the largest class of a large bucket with the nearest node of another class."""
-    dealt = dealt_blocks(large.join(register, "id"), F.ceil((F.col("n") - F.col("most")) / BLOCK_NODES),
-                         F.ceil(F.col("n") / BLOCK_NODES), ["id", "label", "registers"])
-    near = (dealt.groupBy("bucket", "i", "j").applyInArrow(nearest_nodes, "u long, v long, equal int")
-            .groupBy("u").agg(F.max(F.struct("equal", -F.col("v"))).alias("m")).select("u", (-F.col("m")["col2"]).alias("v")))
-    return near.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct()
-
-
-def _block_pairs(large: DataFrame, nodes: DataFrame, bag: DataFrame, similarity: float) -> DataFrame:
-    """Links between the classes of large buckets, as pairs of labels.
-
-    Nodes outside a bucket's largest class are compared with all its nodes, in
-    blocks of bounded size that spread over the tasks; a block gives its links,
-    not its pairs.
-    """
-    full = large.join(bag.join(nodes.select("id", F.transform("bands", lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int")).alias("keys")), "id"), "id")
-    dealt = dealt_blocks(full, F.ceil((F.col("width") - F.col("major_width")) / BLOCK_SHINGLES),
-                         F.ceil(F.col("width") / BLOCK_SHINGLES), ["band", "label", "short", "short_counts", "keys"])
-
-    def links(table: pa.Table) -> pa.Table:
-        return block_links(table, similarity)
-
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(links, "a long, b long").distinct()
+    return placed.select("bucket", "id", "label", F.explode(spots).alias("spot")).select("bucket", "spot.*", "id", "label")
 
 
 def _several(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several classes: (id, band, bucket, label), rows and shingles of the bucket and of its largest class."""
-    placed = shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    """Rows of the buckets that hold several classes: (id, bucket, label, width), and the largest class and its shingles."""
+    placed = shared.drop("width").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     whole = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("own_width").alias("width"))
              .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("width").alias("width"),
                                     F.max(F.struct("n", "label", "width")).alias("m")).filter("m.n < n")
-             .select("bucket", "n", "width", F.col("m.n").alias("most"), F.col("m.label").alias("major"),
-                     F.col("m.width").alias("major_width")))
-    return cut(placed.join(whole, "bucket"))
+             .select("bucket", "width", F.col("m.label").alias("major"), F.col("m.width").alias("major_width")))
+    return placed.join(whole, "bucket")
 
 
 def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFrame:
@@ -385,54 +347,21 @@ def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFra
     rows = cut(sketch(docs, key, text))
     nodes = cut(rows.filter(F.col("digest").isNotNull()).dropDuplicates(["digest"])
                 .withColumn("id", F.monotonically_increasing_id()))
-    dealt = nodes.select("id", F.col("width").alias("own_width"), F.posexplode("bands").alias("band", "bucket"))
-    heads = dealt.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    shared = cut(dealt.join(heads, "bucket"))  # only buckets of two or more nodes
+    dealt = nodes.select("id", F.col("width").cast("long").alias("own_width"), F.explode("bands").alias("bucket"))
+    several = (dealt.groupBy("bucket").agg(F.sum("own_width").alias("width"), F.count(F.lit(1)).alias("n"))
+               .filter("n > 1").drop("n"))
+    shared = cut(dealt.join(several, "bucket"))  # only buckets of two or more nodes
     bag = bags_of(shared.select("id").distinct(), nodes, docs, key, text)
-    register = nodes.select("id", "registers")
-
-    def promising(pairs: DataFrame) -> DataFrame:
-        """Pairs whose registers leave the similarity possible."""
-        a = register.select(F.col("id").alias("a"), F.col("registers").alias("ra"))
-        b = register.select(F.col("id").alias("b"), F.col("registers").alias("rb"))
-        return (pairs.join(a, "a").join(b, "b").withColumn("equal", equal_registers("ra", "rb"))
-                .filter(F.col("equal") >= LEAST_EQUAL).select("a", "b", "equal"))
-
-    stars = shared.filter("id > head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
-    # Each node with its most similar head first.
-    first = cut(promising(stars).groupBy("a").agg(F.max(F.struct("equal", -F.col("b"))).alias("m"))
-                .select("a", (-F.col("m")["col2"]).alias("b")))
-    labels = roots(similar_pairs(first, bag, similarity))
-    shared = shared.drop("head")
-
-    def label_of(pairs: DataFrame) -> DataFrame:
-        """Node pairs as pairs of their labels."""
-        return (pairs.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
-                .join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
-                .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-
-    # Large buckets with several classes: most of these join at their nearest pairs.
-    large = _several(shared, labels).filter(F.col("n") > SMALL_BUCKET)
-    near = similar_pairs(_nearest_pairs(large, register), bag, similarity)
-    joined = roots(label_of(near.select("a", "b")).filter("a <> b").groupBy(F.greatest("a", "b").alias("a"))
-                   .agg(F.min(F.least("a", "b")).alias("b")))
-    labels = cut(shared.select("id").distinct().join(labels, "id", "left")
-                 .select("id", F.coalesce("label", "id").alias("label"))
-                 .join(joined.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left")
-                 .select("id", F.coalesce("to", "label").alias("label")))
-    # What is left: pairs of one bucket in different classes.
-    open_ = _several(shared, labels)
-    small = open_.filter(F.col("n") <= SMALL_BUCKET).join(register, "id")
-    a = small.select("bucket", F.col("id").alias("a"), F.col("label").alias("la"), F.col("registers").alias("ra"))
-    b = small.select("bucket", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("registers").alias("rb"))
-    rest = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("la") < F.col("lb"))
-                  & (equal_registers("ra", "rb") >= LEAST_EQUAL)).select("a", "b").distinct()
-    pairs = similar_pairs(rest.join(first, ["a", "b"], "left_anti"), bag, similarity)
-    more = label_of(pairs.select("a", "b")).union(
-        _block_pairs(open_.filter(F.col("n") > SMALL_BUCKET), nodes, bag, similarity))
-    joined = components(more)
+    labels = components(cut(links(dealt_chunks(shared).join(bag, "id"), similarity)))
+    # Buckets of several chunks whose classes did not all meet.
+    open_ = cut(_several(shared.filter(F.col("width") > BLOCK_SHINGLES), labels))
+    if not open_.isEmpty():
+        joined = components(cut(links(dealt_blocks(open_).join(bag, "id"), similarity)))
+        labels = (shared.select("id").distinct().join(labels, "id", "left")
+                  .select("id", F.coalesce("label", "id").alias("label"))
+                  .join(joined.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left")
+                  .select("id", F.coalesce("to", "label").alias("label")))
     final = (nodes.select("id", "digest").join(labels, "id", "left")
-             .select("digest", F.coalesce("label", "id").alias("id")).join(joined, "id", "left")
              .select("digest", F.coalesce("label", "id").alias("node")))
     member = cut(rows.select("key", "text_key", "digest").join(final, "digest", "left").drop("digest"))
     classes = (member.filter("node is not null").groupBy("node")

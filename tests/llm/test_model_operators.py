@@ -79,11 +79,9 @@ def brute_classes(rows):
     return {frozenset(g) for g in groups.values()}
 
 
-@pytest.mark.parametrize("small", [32, 2])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, small):
-    monkeypatch.setattr(near_dup, "SMALL_BUCKET", small)
-    monkeypatch.setattr(near_dup, "BLOCK_NODES", 8)
-    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 900)
+@pytest.mark.parametrize("block", [near_dup.BLOCK_SHINGLES, 900, 300])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", block)
     r = random.Random(9)
     rows = []
     for g in range(4):
@@ -103,6 +101,28 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, small):
     assert all(k == min(g) for k, g in groups.items()) and all(len(groups[x["class_id"]]) == x["class_rows"] for x in got)
 
 
+@pytest.mark.parametrize("repeats", [False, True])
+def test_block_labels_equal_all_pairs(repeats):
+    r = random.Random(5)
+    bases = [[f"b{b}w{i}" for i in range(60)] for b in range(4)]
+    texts = []
+    for _ in range(60):
+        w = list(r.choice(bases))
+        for _ in range(r.choice([0, 1, 1, 2, 3])):
+            w[r.randrange(len(w))] = f"new{r.randrange(10**6)}"
+        texts.append(w * r.choice([1, 2, 3]) if repeats else w)
+    made = [near_dup.shorter(*bags.shingle_bags(w, 5)) for w in texts]
+    for side in (np.full(60, 2), np.array([r.choice([0, 1, 2]) for _ in texts])):
+        start = np.array([k - k % 2 if r.random() < 0.3 else k for k in range(60)])
+        want = start.copy()
+        for u, v in itertools.product(range(60), range(60)):
+            if side[u] != 1 and side[v] > 0 and near_dup.probability_jaccard(*made[u], *made[v]) >= 0.8:
+                want[want == want[v]] = want[u]
+        got = near_dup.joined_labels(side, start, made, 0.8)
+        assert {frozenset(np.flatnonzero(got == x)) for x in got} == {frozenset(np.flatnonzero(want == x)) for x in want}
+        assert len(set(want)) < len(set(start))
+
+
 def test_keep_one(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "A b c d e f g"), (None, "x y z q r s"), (None, "x y z q r s"),
             (3, None), (3, None), (4, "solo words in a row here")]
