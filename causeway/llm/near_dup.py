@@ -345,8 +345,10 @@ def _several(shared: DataFrame, labels: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFrame:
     """Rows (key, text_key, node, class_id, class_rows), one for each row of ``docs``."""
     rows = cut(sketch(docs, key, text))
-    nodes = cut(rows.filter(F.col("digest").isNotNull()).dropDuplicates(["digest"])
-                .withColumn("id", F.monotonically_increasing_id()))
+    one = F.first(F.struct("key", "text_key", "width", "bands")).alias("one")
+    nodes = cut(rows.filter(F.col("digest").isNotNull()).groupBy("digest")
+                .agg(one, F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
+                .select("digest", "one.*", "least", "copies").withColumn("id", F.monotonically_increasing_id()))
     dealt = nodes.select("id", F.col("width").cast("long").alias("own_width"), F.explode("bands").alias("bucket"))
     several = (dealt.groupBy("bucket").agg(F.sum("own_width").alias("width"), F.count(F.lit(1)).alias("n"))
                .filter("n > 1").drop("n"))
@@ -361,12 +363,12 @@ def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFra
                   .select("id", F.coalesce("label", "id").alias("label"))
                   .join(joined.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left")
                   .select("id", F.coalesce("to", "label").alias("label")))
-    final = (nodes.select("id", "digest").join(labels, "id", "left")
-             .select("digest", F.coalesce("label", "id").alias("node")))
-    member = cut(rows.select("key", "text_key", "digest").join(final, "digest", "left").drop("digest"))
-    classes = (member.filter("node is not null").groupBy("node")
-               .agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_rows")))
-    return (member.join(classes, "node", "left")
+    final = (nodes.select("id", "digest", "least", "copies").join(labels, "id", "left")
+             .select("digest", "least", "copies", F.coalesce("label", "id").alias("node")))
+    # Fixed before it is joined, so that the rows of a large class can be split among tasks.
+    classes = cut(final.groupBy("node").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_rows")))
+    found = final.select("digest", "node").join(classes, "node")
+    return (rows.select("key", "text_key", "digest").join(found, "digest", "left")
             .select("key", "text_key", "node",
                     F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("class_rows", F.lit(1)).alias("class_rows")))
