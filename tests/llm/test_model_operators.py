@@ -272,6 +272,35 @@ def test_quality_judgement(spark, docs):
     assert quality.judge(odd.limit(0), none).count() == 0
 
 
+def test_small_strata_reject_planted_poor_rows(spark):
+    r = random.Random(9)
+    rows, marks = [], []
+    for lang, n_good in (("a", 1000), ("b", 320), ("c", 40), (None, 200)):
+        for i in range(n_good + 20):
+            poor = i >= n_good
+            words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7))) for _ in range(60)]
+            rows.append((len(rows), " ".join("#" + w if poor and k % 3 == 0 else w for k, w in enumerate(words)), lang))
+            marks.append((rows[-1][0], int(not poor)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    kept = {x["doc_id"] for x in quality.judge(docs, labels).filter("kept").collect()}
+    assert kept == {x["doc_id"] for x in quality.keep_good(docs, labels).collect()}
+    for lang in ("a", "b", "c", None):
+        own = [i for i, _, of in rows if of == lang]
+        assert not any(i in kept for i in own if not marks[i][1])
+        assert sum(i not in kept for i in own if marks[i][1]) <= 0.03 * len(own)
+
+
+def test_paths_are_whole_and_small_strata_share_one():
+    steps = np.array([[0, 0, 5, 9, 10], [20, 0, 0, 9, 10], [0, 0, 40, 9, 10]])
+    path = quality.layout(steps, np.array([90.0, 0, 1]), np.array([0, 12.0, 0]))
+    assert path[:31] == [(0, k) for k in range(50, 19, -1)] and len(set(path)) == len(path) == 5 * quality.STEPS
+    sizes = [{"stratum": s, "good": True, "count": n} for s, n in (("a", 2000), ("b", 280), (None, 150), ("c", 90))]
+    members, level = quality._paths(sizes, 0.02, 0.05)
+    assert [m[:2] for m in members] == [("a", 0), ("b", 1), (None, quality.POOL), ("c", quality.POOL), ("a", quality.POOL), ("b", quality.POOL)]
+    assert level == 0.05 / 3 and [m[4] for m in members] == [True] * 4 + [False] * 2
+
+
 def test_pipeline_equals_its_parts_by_brute_force(spark, docs):
     kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, SF).collect()}
     verdict = {r["doc_id"] for r in quality.judge(docs, table(spark, SF, "labels")).collect() if r["kept"]}
