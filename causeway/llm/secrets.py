@@ -1,7 +1,7 @@
 """Secret scan with multipart linking: strong findings stand alone, weak ones only beside a complement.
 
 Base findings are assignments, access identifiers and long hex runs. Weak
-candidates (account names, short or unlabelled secrets, endpoints) are matched
+candidates (account names, short, labelled or unlabelled secrets, endpoints) are matched
 with the other parts of the same text by an interval join: parts are dealt to
 scope buckets along the text, equal buckets meet, and a weak candidate is
 reported if a part of a complementary role lies within the scope. The join is
@@ -20,15 +20,25 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # AKIA[A-Z0-9]+ of 16 or more characters: the run is taken whole either way
 HEX = r"[0-9a-f]{32,}"  # [0-9a-f]+ of 32 or more characters
 
-# Weak candidates.
-WEAK_ID = r"""(?i)\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[a-z0-9_.@+-]{3,}"""
-WEAK_SECRET = r"""(?i)\b(?:pwd|pass|passphrase|credential|auth(?:orization)?|bearer|signature|private_?key)["']?\x20*[:=]\x20*["']?[a-z0-9+/_.=-]{4,}"""
+# Weak candidates. A label may stand behind an underscore (DB_USER) and end in a further part or number (user_id, pwd2).
+FRONT, NUMBER, IS = r"(?<![A-Za-z0-9])", r"(?:[_-]?[0-9]{1,4})?", r"""["']?\x20*[:=]\x20*["']?"""
+WEAK_ID = (rf"""(?i){FRONT}(?:user(?:name)?|login|account|client[_-]?id|(?<!secret[_-])access[_-]?key(?:[_-]?id)?)"""
+           rf"""(?:[_-]?(?:name|id|email))?{NUMBER}{IS}[a-z0-9_.@+-]{{3,}}""")
+WEAK_SECRET = (rf"""(?i){FRONT}(?:(?:pwd|pass|credentials?|auth(?:orization)?|bearer|signature|private[_-]?key|"""
+               rf"""secret[_-]?(?:access[_-]?)?key)(?:[_-]?(?:key|value|code|phrase|string|hash))?{NUMBER}{IS}"""
+               r"""(?:(?:bearer|basic|token)\x20+)?[a-z0-9+/_.=~-]{4,}|"""
+               r"""bearer\x20+(?:(?=[a-z+/_.=~-]*[0-9])[a-z0-9+/_.=~-]{8,}|[a-z0-9+/_.=~-]{20,}))""")
+# Unlabelled: a base64 run of 32 or more characters with lower case, upper case and digits, or a hex run of 24 or more
+# with letters and digits.
+BARE = (r"""(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[a-z])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[0-9])"""
+        r"""[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])|"""
+        r"""(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])(?:[0-9a-f]{24,}|[0-9A-F]{24,})(?![A-Za-z0-9])""")
 ENDPOINT = (r"""(?i)\bhttps?://[^\s"'<>]+|\b(?:\d{1,3}\.){3}\d{1,3}\b(?::\d{1,5})?|"""
             r"""\b[a-z0-9](?:[a-z0-9-]*[a-z0-9])?(?:\.[a-z0-9](?:[a-z0-9-]*[a-z0-9])?)+:\d{2,5}\b""")
 
-KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
+KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint", "bare_secret")
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "weak_id": "id", "weak_secret": "secret",
-        "endpoint": "endpoint"}
+        "endpoint": "endpoint", "bare_secret": "secret"}
 # Code points between two parts of one credential.
 SCOPE = 200
 
@@ -81,13 +91,19 @@ def find_parts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                     only(t.rlike(HEX), spans_of(t, HEX, 2)))
     short = F.filter(spans_of(t, ASSIGN, 4, 0, 2), lambda s: ~F.exists("_base", lambda b: b["start"] == s["start"]))
     weak = F.concat(only(has("user", "login", "account", "client", "access"), spans_of(t, WEAK_ID, 3)),
-                    only(has("pwd", "pass", "credential", "auth", "bearer", "signature", "private"),
+                    only(has("pwd", "pass", "credential", "auth", "bearer", "signature", "private", "secret"),
                          spans_of(t, WEAK_SECRET, 4)),
                     only(has("passw", "secret", "token", "apikey", "api_key"), short),
                     only(t.rlike(r"\d\.\d|://|[A-Za-z0-9]:\d\d"), spans_of(t, ENDPOINT, 5)))
+    bare = only(t.rlike("[A-Za-z0-9+/_-]{24}"), spans_of(t, BARE, 6))
+
+    def apart(found: Column, taken: Column) -> Column:
+        return F.filter(found, lambda w: ~F.exists(taken, lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
+    # An unlabelled run that a labelled part holds is that part.
+    labelled = F.concat("_base", F.filter("_weak", lambda w: w["kind"] != 5))
     return (own.withColumn("_base", F.array_sort(base))
-            .withColumn("_weak", F.array_sort(F.array_distinct(F.filter(weak, lambda w: ~F.exists(
-                "_base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))))))
+            .withColumn("_weak", apart(weak, F.col("_base")))
+            .withColumn("_weak", F.array_sort(F.array_distinct(F.concat("_weak", apart(bare, labelled)))))
             .select("_key", "_text", "_base", "_weak"))
 
 
@@ -95,7 +111,8 @@ def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Rows (_key, _text, _linked): the weak candidates that have a complementary part within ``scope``.
 
     An account name needs a secret, a secret an account name or an endpoint, an
-    endpoint a secret or an access identifier.
+    endpoint a secret or an access identifier. An unlabelled secret and a part
+    that overlaps it say nothing about each other.
     """
     roles = F.create_map(*[F.lit(v) for i, k in enumerate(KINDS) for v in (i, ROLE[k])])
     flat = (parts.filter(F.size("_weak") > 0).select("_key", "_text", F.explode("_weak").alias("w"))
@@ -115,6 +132,9 @@ def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
                   | ((F.col("role") == "secret") & F.col("p_role").isin("id", "endpoint"))
                   | ((F.col("role") == "endpoint") & ((F.col("p_role") == "secret") | (F.col("p_kind") == 1))))
     near = (F.col("p_start") <= F.col("end") + scope) & (F.col("p_end") >= F.col("start") - scope)
+    bare = KINDS.index("bare_secret")
+    near &= ((F.col("kind") != bare) & (F.col("p_kind") != bare)) | (F.col("p_start") >= F.col("end")) | (
+        F.col("p_end") <= F.col("start"))
     met = left.join(right, F.col("_key").eqNullSafe(F.col("p_key")) & (F.col("_text") == F.col("p_text"))
                     & (F.col("bucket") == F.col("p_bucket")) & complement & near, "left_semi")
     return met.groupBy("_key", "_text").agg(F.collect_set(F.struct("start", "kind", "end")).alias("_linked"))
