@@ -27,8 +27,6 @@ c = F.col
 
 # Labelled rows the model queries fit on, the first by hash: a bound, not a share.
 FIT_ROWS = 4_000
-# Boosting rounds of the queries; one binary model per class and round makes the operator's 100 take too long for a check.
-ROUNDS = 5
 FEATURES = model.FeatureConfig(max_features=100)
 
 
@@ -271,7 +269,7 @@ def stratified_folds(spark, sf):
 # --- models ------------------------------------------------------------------
 
 def _config(kind: str) -> model.ModelConfig:
-    return model.ModelConfig(model_type=kind, tune=False, boost_rounds=ROUNDS)
+    return model.ModelConfig(model_type=kind, tune=False)
 
 
 def _to_fit(rows: DataFrame) -> DataFrame:

@@ -115,3 +115,8 @@ def test_splits_are_disjoint_and_complete(sample):
     rows = features.stratified_split(sample, test=0.3)
     assert rows.count() == 40 and rows.select("log_id").distinct().count() == 40
     assert rows.filter("is_test").select("root_cause_label").distinct().count() == 8
+
+
+def test_registered_boosting_uses_the_default_rounds():
+    from causeway.plans import catalog
+    assert catalog._config(model.BOOSTED).boost_rounds == model.ModelConfig().boost_rounds == 100
