@@ -153,6 +153,21 @@ def with_class_weight(df: DataFrame, label: str = "root_cause_label", out: str =
     return df.join(weights, label, "left")
 
 
+def bounded_sample(df: DataFrame, n: int, label: str = "root_cause_label", seed: int = 42, key: str = "log_id") -> DataFrame:
+    """At most about ``n`` labelled rows, the first of each label by hash: small labels whole, the others up to one bound.
+
+    Every label keeps a row at least, however many labels there are.
+    """
+    labelled = df.filter(F.col(label).isNotNull())
+    counts = sorted((r["n"], r[label]) for r in label_counts(labelled, label).collect())
+    left, bound = n, 1
+    for i, (size, _) in enumerate(counts):
+        bound = max(1, left // (len(counts) - i))
+        left -= min(size, bound)
+    quotas = df.sparkSession.createDataFrame([(name, min(size, bound)) for size, name in counts], f"{label} string, quota long")
+    return first_by_hash(labelled, label, key, seed, quotas, "_taken", sum(c[0] for c in counts)).filter("_taken").drop("_taken")
+
+
 def split_quotas(df: DataFrame, label: str, test: float) -> DataFrame:
     """Rows (label, n, quota): test rows per class, largest remainders first, ties by label."""
     rows = label_counts(df, label).collect()

@@ -346,13 +346,14 @@ def feature_importance(model: LogModel, spark: SparkSession, top: int | None = N
 
 
 def compare_models(train_df: DataFrame, test_df: DataFrame, configs: list[ModelConfig],
-                   feature_config: FeatureConfig = FeatureConfig(), packs: RulePacks = DEFAULT_PACKS) -> DataFrame:
+                   feature_config: FeatureConfig = FeatureConfig(), packs: RulePacks = DEFAULT_PACKS,
+                   fit_on: DataFrame | None = None) -> DataFrame:
     """Rows (model_type, accuracy, macro_f1, weighted_f1, error): every configuration on the same
-    rows; a failure becomes a row instead of ending the comparison."""
+    rows, with the feature statistics of ``fit_on`` where given; a failure becomes a row instead of ending the comparison."""
     spark, label, parts = train_df.sparkSession, feature_config.label, []
     for config in configs:
         try:
-            model = train(train_df, config, feature_config, packs)
+            model = train(train_df, config, feature_config, packs, fit_on)
             cm = evaluate.confusion(score(test_df, model), label, "prediction")
             values = {r["metric"]: r["value"] for r in evaluate.overall_metrics(cm).collect()}
             parts.append((config.model_type, values["accuracy"], values["macro_f1"], values["weighted_f1"], None))

@@ -25,7 +25,8 @@ LABELS = DEFAULT_PACKS.labels
 RC = "root_cause_label"
 c = F.col
 
-# Labelled rows the model queries fit on, the first by hash: a bound, not a share.
+# Labelled rows the classifiers of the model queries fit on, the first of each label by hash: a bound, not a share.
+# Vocabulary, document counts, category codes and labels come from all rows.
 FIT_ROWS = 4_000
 FEATURES = model.FeatureConfig(max_features=100)
 
@@ -273,17 +274,21 @@ def _config(kind: str) -> model.ModelConfig:
 
 
 def _to_fit(rows: DataFrame) -> DataFrame:
-    return rows.orderBy(F.md5("log_id"), "log_id").limit(FIT_ROWS)
+    return features.bounded_sample(rows, FIT_ROWS)
+
+
+def _train(rows: DataFrame, kind: str) -> model.LogModel:
+    return model.train(_to_fit(rows), _config(kind), FEATURES, fit_on=rows.filter(c(RC).isNotNull()))
 
 
 def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
     rows = materialize(features.stratified_split(valid(spark, sf), test=0.3), "split")
-    return _to_fit(rows.filter("not is_test").drop("is_test")), rows.filter("is_test").drop("is_test")
+    return rows.filter("not is_test").drop("is_test"), rows.filter("is_test").drop("is_test")
 
 
 def _scored(spark, sf, kind: str) -> tuple[model.LogModel, DataFrame]:
     train_rows, test_rows = _halves(spark, sf)
-    fitted = model.train(train_rows, _config(kind), FEATURES)
+    fitted = _train(train_rows, kind)
     return fitted, model.score(test_rows, fitted)
 
 
@@ -309,7 +314,7 @@ def fit_boosted_trees(spark, sf):
 @query
 def save_pipeline(spark, sf):
     train_rows, test_rows = _halves(spark, sf)
-    fitted = model.train(train_rows, _config(model.LOGISTIC), FEATURES)
+    fitted = _train(train_rows, model.LOGISTIC)
     path = model.save_pipeline(fitted, scratch_path(spark, "model"), spark)
     return _flat_scores(model.score(test_rows, model.load_pipeline(path, spark)))
 
@@ -356,12 +361,12 @@ def holdout_accuracy(spark, sf):
 def compare_models(spark, sf):
     train_rows, test_rows = _halves(spark, sf)
     configs = [_config(k) for k in (model.LOGISTIC, model.RANDOM_FOREST, model.BOOSTED)]
-    return model.compare_models(train_rows, test_rows, configs, FEATURES)
+    return model.compare_models(_to_fit(train_rows), test_rows, configs, FEATURES, fit_on=train_rows.filter(c(RC).isNotNull()))
 
 
 @query
 def feature_importance(spark, sf):
-    fitted = model.train(_to_fit(valid(spark, sf)), _config(model.RANDOM_FOREST), FEATURES)
+    fitted = _train(valid(spark, sf), model.RANDOM_FOREST)
     return rounded(model.feature_importance(fitted, spark), "importance")
 
 
@@ -370,7 +375,7 @@ def score_stream(spark, sf):
     rows = logs(spark, sf)
     source, out = scratch_path(spark, "arriving"), scratch_path(spark, "scored")
     rows.drop(RC).repartition(4).write.parquet(source)
-    fitted = model.train(_to_fit(rows.filter(profile.scorable())), _config(model.LOGISTIC), FEATURES)
+    fitted = _train(rows.filter(profile.scorable()), model.LOGISTIC)
     stream = scoring.read_log_stream(spark, source, schema=rows.drop(RC).schema)
     for q in scoring.score_stream(stream, fitted, out, scratch_path(spark, "rejected"), scratch_path(spark, "progress"), once=True):
         q.awaitTermination()

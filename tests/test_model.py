@@ -120,3 +120,18 @@ def test_splits_are_disjoint_and_complete(sample):
 def test_registered_boosting_uses_the_default_rounds():
     from causeway.plans import catalog
     assert catalog._config(model.BOOSTED).boost_rounds == model.ModelConfig().boost_rounds == 100
+
+
+def test_registered_models_know_rare_labels_and_services(spark, monkeypatch):
+    from causeway.plans import catalog
+    rows = spark.createDataFrame([(f"L{i}", "2024-03-01T10:00:00Z", f"svc-{i % 60}", "ERROR", f"word{i} failed",
+                                   "RC-02" if i == 7 else "RC-01") for i in range(300)],
+                                 "log_id string, timestamp string, service string, severity string, log_message string, root_cause_label string")
+    monkeypatch.setattr(catalog, "FIT_ROWS", 20)
+    taken = {r["root_cause_label"]: r["count"] for r in catalog._to_fit(rows).groupBy("root_cause_label").count().collect()}
+    assert taken == {"RC-01": 19, "RC-02": 1}
+    monkeypatch.setattr(catalog, "_config", lambda kind: model.ModelConfig(model_type=kind, tune=False, forest_trees=2, forest_max_depth=2))
+    fitted = catalog._train(rows, model.RANDOM_FOREST)
+    assert fitted.labels == ["RC-01", "RC-02"]
+    indexer = next(s for s in fitted.pipeline.stages if s.hasParam("inputCol") and s.getOrDefault("inputCol") == "service")
+    assert len(indexer.labels) == 60
