@@ -321,13 +321,11 @@ def save_pipeline(spark, sf):
 
 @query
 def tune(spark, sf):
-    rows = valid(spark, sf)
+    rows = valid(spark, sf).filter(c(RC).isNotNull())
     fitted, _ = model.fit_features(rows, FEATURES)
     labels = features.fit_categories(rows, RC)
-    ready = model.index_labels(features.with_class_weight(model.assemble_features(rows, fitted)), labels)
-    grid = {"forest_trees": [5, 10], "forest_max_depth": [5, 10], "balanced": [False, True]}
-    config = model.ModelConfig(folds=3, grid=grid)
-    return model.tune(ready.select("log_id", RC, "features", "label_index", "weight"), config).results
+    ready = model.index_labels(features.with_class_weight(model.assemble_features(_to_fit(rows), fitted)), labels)
+    return model.tune(ready.select("log_id", RC, "features", "label_index", "weight"), model.ModelConfig()).results
 
 
 @query

@@ -135,3 +135,16 @@ def test_registered_models_know_rare_labels_and_services(spark, monkeypatch):
     assert fitted.labels == ["RC-01", "RC-02"]
     indexer = next(s for s in fitted.pipeline.stages if s.hasParam("inputCol") and s.getOrDefault("inputCol") == "service")
     assert len(indexer.labels) == 60
+
+
+def test_registered_tuning_searches_the_whole_grid(spark, monkeypatch):
+    from causeway.plans import catalog
+    seen = []
+
+    def tune(df, config):
+        seen.append((df.count(), config))
+        return model.Tuned(None, config, 0.0, df)
+    monkeypatch.setattr(model, "tune", tune)
+    catalog.QUERIES["tune"](spark, "/root/testdata/sf0.001")
+    (n, config), = seen
+    assert model.parameter_grid(config) == model.GRIDS[model.RANDOM_FOREST] and config.folds == 5 and 0 < n <= catalog.FIT_ROWS
