@@ -384,21 +384,37 @@ def permutation_importance(df: DataFrame, model: LogModel, names: list[str], rep
     ``per_class`` uses the one-vs-rest area of each class; otherwise accuracy,
     with an empty label. Each repeat passes every row's value on to the next row
     in a random order, within random groups, so no task orders all rows. All
-    features of a repeat are evaluated in one job.
+    features of a repeat are evaluated in one job; a row that is given its own
+    value again keeps its prediction and is not scored anew.
     """
     positions = [model.feature_names.index(n) for n in names]
     base = (assemble_features(df.select(key, label, *_inputs(df, model)), model.feature_stages)
-            .select(key, F.col(label).alias("truth"), "features").persist())
+            .select(key, F.col(label).alias("truth"), "features"))
+    base = (_predicted(base, model).select(key, "truth", "features", F.col("probability").alias("_probability"),
+                                           F.col("prediction").alias("_prediction")).persist())
     try:
         groups = max(1, math.ceil(base.count() / PERMUTATION_GROUP))
-        before = _scores(_predicted(base, model), model, [], per_class, digits)
-        after = reduce(DataFrame.unionByName, [
-            _scores(_predicted(_shuffled(base, key, positions, names, groups, seed + r), model), model,
-                    ["feature"], per_class, digits) for r in range(repeats)])
+        whole = _points(base.select("truth", F.col("_probability").alias("probability"),
+                                    F.col("_prediction").alias("prediction"), F.lit(1).alias("_n")), model, [],
+                        per_class, digits).persist()
+        before = _values(whole, [], per_class)
+        listed = F.broadcast(df.sparkSession.createDataFrame([(n,) for n in names], "feature string"))
+        after = []
+        for r in range(repeats):
+            moved = _predicted(_shuffled(base, key, positions, names, groups, seed + r, changed=True), model)
+            states = F.array(F.struct("probability", "prediction", F.lit(1).alias("_n")),
+                             F.struct(F.col("_probability").alias("probability"),
+                                      F.col("_prediction").alias("prediction"), F.lit(-1).alias("_n")))
+            change = _points(moved.select("feature", "truth", F.inline(states)), model, ["feature"], per_class, digits)
+            points = whole.crossJoin(listed).unionByName(change).groupBy("feature", "label", "score").agg(
+                F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter("pos <> 0 or neg <> 0")
+            after.append(_values(points, ["feature"], per_class))
+        after = reduce(DataFrame.unionByName, after)
         drop = (after.groupBy("feature", "label").agg(F.avg("value").alias("after"))
                 .join(before.withColumnRenamed("value", "before"), "label")
                 .select("label", "feature", (F.col("before") - F.col("after")).alias("importance")))
         rows = drop.collect()  # classes x listed features
+        whole.unpersist()
         return df.sparkSession.createDataFrame(rows, drop.schema)
     finally:
         base.unpersist()
@@ -410,8 +426,14 @@ def _inputs(df: DataFrame, model: LogModel) -> list[str]:
     return [c for c in used if c in df.columns]
 
 
-def _shuffled(base: DataFrame, key: str, positions: list[int], names: list[str], groups: int, seed: int) -> DataFrame:
-    """One row per source row and feature, with that feature's value taken from another row."""
+def _shuffled(base: DataFrame, key: str, positions: list[int], names: list[str], groups: int, seed: int,
+              changed: bool = False) -> DataFrame:
+    """One row per source row and feature, with that feature's value taken from another row.
+
+    ``changed`` leaves out the rows whose value stays the same; the columns of
+    the earlier prediction, if any, are kept.
+    """
+    kept = [n for n in ("_probability", "_prediction") if n in base.columns]
     values = base.withColumn("_values", vector_to_array("features"))
     picked = F.array(*[F.get("_values", F.lit(p)) for p in positions])
     by = Window.partitionBy("_group").orderBy("_place", key)
@@ -422,27 +444,40 @@ def _shuffled(base: DataFrame, key: str, positions: list[int], names: list[str],
              .withColumn("_given", F.coalesce(F.lead("_picked").over(by), F.first("_picked").over(whole))))
     cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(p).alias("_at"), F.get("_given", F.lit(i)).alias("_new"))
                       for i, (n, p) in enumerate(zip(names, positions))])
-    rows = moved.select(key, "truth", "_values", F.inline(cells))
+    if changed:
+        cells = F.filter(cells, lambda x: F.get("_values", x["_at"]) != x["_new"])
+    rows = moved.select(key, "truth", *kept, "_values", F.inline(cells))
     replaced = F.transform("_values", lambda v, i: F.when(i == F.col("_at"), F.col("_new")).otherwise(v))
-    return rows.select(key, "truth", "feature", array_to_vector(replaced).alias("features"))
+    return rows.select(key, "truth", *kept, "feature", array_to_vector(replaced).alias("features"))
 
 
 def _predicted(df: DataFrame, model: LogModel) -> DataFrame:
     return model.classifier.transform(df).withColumn("probability", vector_to_array("probability"))
 
 
-def _scores(df: DataFrame, model: LogModel, by: list[str], per_class: bool, digits: int | None) -> DataFrame:
-    """Rows (by…, label, value)."""
+def _points(df: DataFrame, model: LogModel, by: list[str], per_class: bool, digits: int | None) -> DataFrame:
+    """Rows (by…, label, score, pos, neg): counts of rows by score, each counted ``_n`` times.
+
+    Without ``per_class`` right and wrong predictions are counted, under one empty label.
+    """
     if not per_class:
         names = F.array(*[F.lit(k) for k in model.labels])
-        right = (F.get(names, F.col("prediction").cast("int")) == F.col("truth")).cast("double")
-        return df.groupBy(*by).agg(F.avg(right).alias("value")).withColumn("label", F.lit(""))
-    cells = F.array(*[F.struct(F.lit(k).alias("label"), F.get("probability", F.lit(i)).alias("score"))
-                      for i, k in enumerate(model.labels)])
-    rows = df.select(*by, "truth", F.inline(cells))
+        own = F.get(names, F.col("prediction").cast("int")) == F.col("truth")
+        rows = df.select(*by, "truth", "_n", own.alias("_own"), F.lit("").alias("label"), F.lit(0.0).alias("score"))
+    else:
+        cells = F.array(*[F.struct(F.lit(k).alias("label"), F.get("probability", F.lit(i)).alias("score"))
+                          for i, k in enumerate(model.labels)])
+        rows = df.select(*by, "truth", "_n", F.inline(cells)).withColumn("_own", F.col("truth") == F.col("label"))
     if digits is not None:
         rows = rows.withColumn("score", F.round("score", digits))
-    own = F.col("truth") == F.col("label")
-    points = rows.groupBy(*by, "label", "score").agg(
-        F.count_if(own).alias("pos"), F.count_if(~own).alias("neg"))
+    return rows.groupBy(*by, "label", "score").agg(
+        F.sum(F.when(F.col("_own"), F.col("_n")).otherwise(0)).alias("pos"),
+        F.sum(F.when(~F.col("_own"), F.col("_n")).otherwise(0)).alias("neg"))
+
+
+def _values(points: DataFrame, by: list[str], per_class: bool) -> DataFrame:
+    """Rows (by…, label, value): the area of each class, or the share of right predictions."""
+    if not per_class:
+        right, wrong = F.sum("pos"), F.sum("neg")
+        return points.groupBy(*by, "label").agg(F.try_divide(right.cast("double"), right + wrong).alias("value"))
     return evaluate._area(points, [*by, "label"]).withColumnRenamed("auc", "value")

@@ -620,8 +620,7 @@ def _global_importance(rows: DataFrame) -> DataFrame:
 def permutation_importance(spark, sf):
     rows = valid(spark, sf)
     fitted = model.train(rows, _config(model.RANDOM_FOREST), FEATURES)
-    listed = [r["feature"] for r in model.feature_importance(fitted, spark, 5).collect()]
-    return rounded(model.permutation_importance(rows, fitted, listed, repeats=2), "importance")
+    return rounded(model.permutation_importance(rows, fitted, fitted.feature_names), "importance")
 
 
 @query
@@ -653,8 +652,7 @@ def error_patterns(spark, sf):
 @query
 def insights(spark, sf):
     fitted, scored = _scored(spark, sf, model.RANDOM_FOREST)
-    listed = [r["feature"] for r in model.feature_importance(fitted, spark, 5).collect()]
-    return rounded(reports.insights(materialize(scored, "scored"), fitted, features=listed, repeats=2), "value")
+    return rounded(reports.insights(materialize(scored, "scored"), fitted), "value")
 
 
 @query

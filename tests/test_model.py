@@ -148,3 +148,37 @@ def test_registered_tuning_searches_the_whole_grid(spark, monkeypatch):
     catalog.QUERIES["tune"](spark, "/root/testdata/sf0.001")
     (n, config), = seen
     assert model.parameter_grid(config) == model.GRIDS[model.RANDOM_FOREST] and config.folds == 5 and 0 < n <= catalog.FIT_ROWS
+
+
+def test_permutation_of_all_features_equals_scoring_every_row(sample, fitted):
+    names = fitted.feature_names
+    base = model.assemble_features(sample, fitted.feature_stages).select("log_id", sample["root_cause_label"].alias("truth"), "features")
+    every = model._predicted(model._shuffled(base, "log_id", list(range(len(names))), names, 1, 42), fitted).withColumn("_n", F.lit(1))
+    plain = model._predicted(base, fitted).withColumn("_n", F.lit(1))
+    for per_class in (True, False):
+        before = {r["label"]: r["value"] for r in model._values(model._points(plain, fitted, [], per_class, None), [], per_class).collect()}
+        want = {(r["label"], r["feature"]): before[r["label"]] - r["value"]
+                for r in model._values(model._points(every, fitted, ["feature"], per_class, None), ["feature"], per_class).collect()}
+        got = model.permutation_importance(sample, fitted, names, repeats=1, per_class=per_class).collect()
+        assert {(r["label"], r["feature"]): r["importance"] for r in got} == pytest.approx(want)
+
+
+def test_registered_importance_permutes_every_feature(spark, monkeypatch):
+    from causeway.plans import catalog
+    seen = []
+    trained = model.LogModel(None, [], ["a", "b", "c", "d", "e", "f"], model.ModelConfig())
+    monkeypatch.setattr(model, "train", lambda *a, **b: trained)
+    monkeypatch.setattr(catalog, "_scored", lambda *a: (trained, spark.range(1)))
+
+    def importance(df, fitted, names, repeats=10):
+        seen.append((names, repeats))
+        return spark.createDataFrame([("x", "a", 0.5)], "label string, feature string, importance double")
+
+    def insights(df, fitted, features=None, repeats=10):
+        seen.append((features or fitted.feature_names, repeats))
+        return spark.createDataFrame([(0.5,)], "value double")
+    monkeypatch.setattr(model, "permutation_importance", importance)
+    monkeypatch.setattr(catalog.reports, "insights", insights)
+    for name in ("permutation_importance", "insights"):
+        catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen == [(trained.feature_names, 10)] * 2
