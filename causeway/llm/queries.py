@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, licenses, mixing, near_dup, quality, secrets, token_file, toxicity, unigram
+from . import decontamination, language, licenses, mixing, near_dup, pii, quality, secrets, token_file, toxicity, unigram
 from .common import crc32_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan_pii(table(spark, sf_dir, "documents")).withColumn("base", pii.of_base(F.col("spans")))
+
+    def of_kind(i: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
+    return found.select("doc_id", *[of_kind(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:pii.N_BASE])],
+                        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"),
+                        F.array_max(F.transform("spans", lambda s: s["score"])).alias("score"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontamination, op2_secrets, op3_token_counts, op4_licenses, op5_toxicity, op6_near_duplicates, op7_language,
-    op8_token_file, op9_quality, op10_mixing)}
+    op8_token_file, op9_quality, op10_mixing, op13_pii)}
