@@ -50,4 +50,39 @@ SELECT doc_id, size, source_size, target,
             + greatest(0, least(budget % source_size - before, size)) END AS BIGINT) AS taken
 FROM placed"""
 
-ORACLES = {"op1_decontamination": OP1, "op10_mixing": OP10}
+TURN = "md5(length(role) || '|' || role || text)"
+
+# crc32 of a decimal text: each byte is folded in, then eight steps of the reversed polynomial.
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda v, z: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295::BIGINT)"""
+
+OP12 = f"""
+WITH said AS (SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+              FROM conversations WHERE conv_id IS NOT NULL),
+ordered AS (SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, {TURN}) AS pos FROM said),
+conv AS (SELECT c, count(*) AS n, c - c % 100 AS root, {CRC} % 6 AS h FROM ordered GROUP BY c),
+rebuilt AS (
+  SELECT conv.c, o.pos, role, text FROM conv JOIN ordered o ON o.c = conv.root AND o.pos <= conv.h
+  UNION ALL
+  SELECT conv.c, o.pos - conv.h + least(conv.h, coalesce(r.n, 0)), role, text
+  FROM conv JOIN ordered o ON o.c = conv.c AND o.pos > conv.h LEFT JOIN conv r ON r.c = conv.root),
+path AS (
+  SELECT c, pos AS d, md5(string_agg({TURN}, ',') OVER (PARTITION BY c ORDER BY pos)) AS k, length(text) AS chars FROM rebuilt
+  UNION ALL SELECT c, 0, '', 0 FROM conv),
+lens AS (SELECT c, max(d) AS len FROM path GROUP BY c),
+node AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = len), '') AS ends
+  FROM path JOIN lens USING (c) GROUP BY d, k),
+up AS (SELECT n.d, n.k, p.k AS pk FROM node n JOIN path p ON p.c = n.conv_id AND p.d = n.d - 1),
+kids AS (SELECT d - 1 AS d, pk AS k, count(*) AS n_children FROM up GROUP BY ALL),
+below AS (
+  SELECT p.d, p.k, sum(CASE WHEN kids.k IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n - 1) * n.chars) AS saved
+  FROM node n LEFT JOIN kids ON kids.d = n.d AND kids.k = n.k JOIN path p ON p.c = n.conv_id AND p.d <= n.d GROUP BY p.d, p.k)
+SELECT n.conv_id, n.d AS depth, parent.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM node n JOIN below USING (d, k) LEFT JOIN kids USING (d, k)
+LEFT JOIN up ON up.d = n.d AND up.k = n.k LEFT JOIN node parent ON parent.d = n.d - 1 AND parent.k = up.pk"""
+
+ORACLES = {"op1_decontamination": OP1, "op10_mixing": OP10, "op12_prefix_trie": OP12}
