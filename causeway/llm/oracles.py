@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .collocations import INSIDE, LEAST, LONGEST, SCALE, TOP
 from .mixing import LIMIT, SHARE, WEIGHTS
 
 WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -50,6 +51,29 @@ SELECT doc_id, size, source_size, target,
             + greatest(0, least(budget % source_size - before, size)) END AS BIGINT) AS taken
 FROM placed"""
 
+OP11 = rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')), '[^ 	]+') AS w FROM documents),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+spot AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM piece, range(1, {LONGEST + 1}) t(m) WHERE len(w) >= m),
+f AS (SELECT lang, CAST(m AS BIGINT) AS m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+      FROM spot GROUP BY ALL HAVING count(*) >= {LEAST}),
+cut AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST((CAST({SCALE} AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+wide AS (SELECT lang, f, string_split(phrase, ' ') AS w, m, unnest(range(2, m)) AS k FROM f WHERE m > 2),
+inner_ AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(f) AS around
+           FROM (SELECT *, unnest(range(1, m - k + 2)) AS i FROM wide) GROUP BY ALL),
+kept AS (SELECT w.* FROM weakest w LEFT JOIN inner_ i USING (lang, phrase)
+         WHERE around IS NULL OR CAST(100 AS HUGEINT) * around < CAST({INSIDE} AS HUGEINT) * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= {TOP}"""
+
 TURN = "md5(length(role) || '|' || role || text)"
 
 # crc32 of a decimal text: each byte is folded in, then eight steps of the reversed polynomial.
@@ -85,4 +109,4 @@ SELECT n.conv_id, n.d AS depth, parent.conv_id AS parent_conv_id, n.n AS n_convs
 FROM node n JOIN below USING (d, k) LEFT JOIN kids USING (d, k)
 LEFT JOIN up ON up.d = n.d AND up.k = n.k LEFT JOIN node parent ON parent.d = n.d - 1 AND parent.k = up.pk"""
 
-ORACLES = {"op1_decontamination": OP1, "op10_mixing": OP10, "op12_prefix_trie": OP12}
+ORACLES = {"op1_decontamination": OP1, "op10_mixing": OP10, "op11_collocations": OP11, "op12_prefix_trie": OP12}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, licenses, mixing, near_dup, pii, prefix_trie, quality, secrets, token_file, toxicity, unigram
+from . import collocations, decontamination, language, licenses, mixing, near_dup, pii, prefix_trie, quality, secrets, token_file, toxicity, unigram
 from .common import crc32_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -97,4 +101,4 @@ def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontamination, op2_secrets, op3_token_counts, op4_licenses, op5_toxicity, op6_near_duplicates, op7_language,
-    op8_token_file, op9_quality, op10_mixing, op12_prefix_trie, op13_pii)}
+    op8_token_file, op9_quality, op10_mixing, op11_collocations, op12_prefix_trie, op13_pii)}
