@@ -24,3 +24,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     renamed = right.withColumnsRenamed({name: f"_right_{name}" for name in on})
     met = reduce(lambda a, b: a & b, (left[name].eqNullSafe(renamed[f"_right_{name}"]) for name in on))
     return left.join(renamed, met, how).drop(*[f"_right_{name}" for name in on])
+
+
+def sparse(vector: str, indices: str = "indices", values: str = "values") -> tuple[Column, Column]:
+    """Positions and values of the entries of an ML vector that are not 0, without a dense array in between."""
+    v = F.unwrap_udt(F.col(vector))
+    # A dense vector has values alone: its positions are those of its values.
+    at = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    entries = F.filter(F.arrays_zip(at.alias("at"), v["values"].alias("v")), lambda e: e["v"] != 0)
+    return (F.transform(entries, lambda e: e["at"]).alias(indices), F.transform(entries, lambda e: e["v"]).alias(values))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .ranking import sums_before
 
 LABEL, PREDICTION, PROBABILITY = "label", "prediction", "probability"
 
@@ -81,20 +82,6 @@ def overall_metrics(cm: DataFrame) -> DataFrame:
 
 # --- ranking metrics ---------------------------------------------------------
 
-BUCKETS_PER_OCTAVE = 64
-
-
-def _bucket(score: Column) -> Column:
-    """A non-decreasing step function of a score in [0, 1], fine near both ends.
-
-    Running sums are formed inside buckets and then shifted by the sums of the
-    earlier buckets, so no task walks all scores of a class.
-    """
-    low = F.floor(F.log2(F.greatest(score, F.lit(1e-300))) * BUCKETS_PER_OCTAVE)
-    high = -F.floor(F.log2(F.greatest(F.lit(1.0) - score, F.lit(1e-300))) * BUCKETS_PER_OCTAVE)
-    return F.when(score < 0.5, low).otherwise(high).cast("int")
-
-
 def class_scores(df: DataFrame, labels: list[str], label: str = LABEL, probability: str = PROBABILITY,
                  digits: int | None = None) -> DataFrame:
     """Rows (class, truth, score, n): rows per class, true label and distinct score.
@@ -109,36 +96,18 @@ def class_scores(df: DataFrame, labels: list[str], label: str = LABEL, probabili
     return rows.groupBy("class", "truth", "score").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _running(points: DataFrame, keys: list[str], sums: list[str], ascending: bool) -> DataFrame:
-    """Add ``<s>_before`` for each s in ``sums``: the total over all strictly earlier scores.
-
-    ``points`` has one row per key and score.
-    """
-    order = F.col("_bucket") if ascending else F.col("_bucket").desc()
-    inner = F.col("score") if ascending else F.col("score").desc()
-    # With the explicit filter both uses of the points look alike, so Spark can share their shuffle.
-    points = (points.withColumn("_bucket", _bucket(F.col("score")))
-              .filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in [*keys, "_bucket"]])))
-    totals = points.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(f"{s}_bucket") for s in sums])
-    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
-    offsets = totals.select(*keys, "_bucket", *[
-        F.coalesce(F.sum(f"{s}_bucket").over(earlier), zero).alias(f"{s}_offset") for s in sums])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
-    local = points.select("*", *[F.coalesce(F.sum(s).over(inside), zero).alias(f"{s}_local") for s in sums])
-    joined = local.join(offsets, [*keys, "_bucket"])
-    return joined.select(*[c for c in points.columns if c != "_bucket"], *[
-        (F.col(f"{s}_local") + F.col(f"{s}_offset")).alias(f"{s}_before") for s in sums])
-
-
-def _area(points: DataFrame, keys: list[str]) -> DataFrame:
+def area(points: DataFrame, keys: list[str]) -> DataFrame:
     """Rows (keys, auc) from (keys, score, pos, neg); null where one side is empty."""
-    run = _running(points, keys, ["neg"], ascending=True)
+    run = sums_before(_with_keys(points, [*keys, "score"]), keys, "score", ["neg"])
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
     return run.groupBy(*keys).agg(
         F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
 
 
+def _with_keys(points: DataFrame, keys: list[str]) -> DataFrame:
+    return points.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+
+
 def _strict_mean(value: str) -> Column:
     """Mean, or null if any value is null: the metric is undefined then."""
     return F.when(F.count_if(F.col(value).isNull()) == 0, F.avg(value))
@@ -150,7 +119,7 @@ def roc_auc_ovr(scores: DataFrame) -> DataFrame:
     points = scores.groupBy("class", "score").agg(
         F.sum(F.when(own, F.col("n")).otherwise(0)).alias("pos"),
         F.sum(F.when(own, F.lit(0)).otherwise(F.col("n"))).alias("neg"))
-    return _area(points, ["class"])
+    return area(points, ["class"])
 
 
 def roc_auc_ovo(scores: DataFrame, labels: list[str]) -> DataFrame:
@@ -167,7 +136,7 @@ def roc_auc_ovo(scores: DataFrame, labels: list[str]) -> DataFrame:
         "neg", F.when(own, F.lit(0)).otherwise(F.col("n")))
     points = (sided.select("class", "score", "pos", "neg", F.explode(rivals).alias("rival"))
               .groupBy("class", "rival", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    sides = _area(points, ["class", "rival"])
+    sides = area(points, ["class", "rival"])
     return (sides.groupBy(F.least("class", "rival").alias("class_a"), F.greatest("class", "rival").alias("class_b"))
             .agg(_strict_mean("auc").alias("auc")))
 
@@ -177,7 +146,7 @@ def average_precision(scores: DataFrame) -> DataFrame:
     own = F.col("truth") == F.col("class")
     points = scores.groupBy("class", "score").agg(
         F.sum(F.when(own, F.col("n")).otherwise(0)).alias("pos"), F.sum("n").alias("all"))
-    run = _running(points, ["class"], ["pos", "all"], ascending=False)
+    run = sums_before(_with_keys(points, ["class", "score"]), ["class"], "score", ["pos", "all"], ascending=False)
     precision = (F.col("pos_before") + F.col("pos")) / (F.col("all_before") + F.col("all"))
     return run.groupBy("class").agg(
         F.try_divide(F.sum(F.col("pos") * precision), F.sum("pos").cast("double")).alias("average_precision"))

@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+import itertools
 import json
-import math
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
-from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.columns import computed_once
+from ..functions.columns import computed_once, sparse
 from ..functions.scalar import TIME_FEATURES
 from ..rules.stop_words import ENGLISH
 from ..rules import DEFAULT_PACKS, RulePacks
-from . import evaluate, features
+from ..session import materialize
+from . import evaluate, features, prefixes
 from .stages import BoostedTrees, LogColumns, UnseenAsMinusOne
 
 RANDOM_FOREST, LOGISTIC, BOOSTED = "random_forest", "logistic_regression", "boosted_trees"
@@ -48,6 +52,7 @@ class ModelConfig:
     boost_subsample: float = 1.0
     folds: int = 5
     tune: bool = True
+    scoring: str = "macro_f1"
     grid: dict[str, list] | None = None
     parallelism: int = 4
 
@@ -185,23 +190,8 @@ class MacroF1(Evaluator):
         return True
 
 
-def _ml_params(est: Estimator, name: str, values: list, total: float) -> tuple:
-    """The Spark parameter and values that a configuration field stands for."""
-    table = {
-        "logistic_c": ("regParam", lambda v: 1.0 / (v * max(total, 1.0))),
-        "logistic_max_iter": ("maxIter", int),
-        "forest_trees": ("numTrees", int),
-        "forest_max_depth": ("maxDepth", lambda v: DEEPEST if v is None else min(v, DEEPEST)),
-        "forest_min_split": ("minInstancesPerNode", lambda v: max(1, v // 2)),
-        "forest_min_leaf": ("minInstancesPerNode", int),
-        "boost_rounds": ("maxIter", int),
-        "boost_max_depth": ("maxDepth", int),
-        "boost_rate": ("stepSize", float),
-        "boost_subsample": ("subsamplingRate", float),
-        "balanced": ("weightCol", lambda v: "weight" if v else "unit_weight"),
-    }
-    param, convert = table[name]
-    return est.getParam(param), [convert(v) for v in values]
+# Grid fields that one fitted ensemble answers for: its first trees or rounds, the tops of its trees.
+PREFIXES = {RANDOM_FOREST: ("forest_trees", "forest_max_depth"), BOOSTED: ("boost_rounds",), LOGISTIC: ()}
 
 
 @dataclass
@@ -214,37 +204,79 @@ class Tuned:
     results: DataFrame
 
 
+def _depth(limit: int | None) -> int:
+    return DEEPEST if limit is None else min(limit, DEEPEST)
+
+
+def _fold_scores(train_rows: DataFrame, test_rows: DataFrame, points: list[ModelConfig], n_classes: int,
+                 total: float) -> list[dict[str, float]]:
+    """The scores of grid points that differ in prefixes alone, from one fit on the training rows of a fold."""
+    first = points[0]
+    weight = "weight" if first.balanced else "unit_weight"
+    if first.model_type == RANDOM_FOREST:
+        sizes = sorted({p.forest_trees for p in points})
+        depths = sorted({_depth(p.forest_max_depth) for p in points})
+        fitted = _forest(replace(first, forest_trees=sizes[-1], forest_max_depth=depths[-1]), weight).fit(train_rows)
+        counts = prefixes.forest_confusions(test_rows, fitted, sizes, depths, n_classes)
+        at = [sizes.index(p.forest_trees) * len(depths) + depths.index(_depth(p.forest_max_depth)) for p in points]
+    elif first.model_type == BOOSTED:
+        rounds = sorted({p.boost_rounds for p in points})
+        fitted = _boosted(replace(first, boost_rounds=rounds[-1]), weight).fit(train_rows)
+        classes = [m for m in fitted.stages if hasattr(m, "treeWeights")]
+        counts = prefixes.boosted_confusions(test_rows, classes, rounds, n_classes)
+        at = [rounds.index(p.boost_rounds) for p in points]
+    else:
+        scored = estimator(first, weight, total).fit(train_rows).transform(test_rows)
+        counts = scored.groupBy(F.lit(0).alias("point"), F.col("label_index").cast("int").alias("truth"),
+                                F.col("prediction").cast("int").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+        at = [0]
+    tables: dict[int, np.ndarray] = {}
+    for r in counts.collect():  # at most classes x classes rows for each point
+        tables.setdefault(r["point"], np.zeros((n_classes, n_classes), np.int64))[r["truth"], r["prediction"]] = r["n"]
+    empty = np.zeros((n_classes, n_classes), np.int64)
+    return [prefixes.scores_of(tables.get(i, empty)) for i in at]
+
+
 def tune(df: DataFrame, config: ModelConfig, label: str = "root_cause_label", key: str = "log_id") -> Tuned:
-    """Exhaustive grid search by macro F1 over stratified folds.
+    """Exhaustive grid search over stratified folds by ``config.scoring`` (macro F1 unless another mean is named).
 
-    ``df`` has features, label_index and weight. The grid points run as
-    concurrent Spark jobs on cached folds.
+    ``df`` has features, label_index and weight. Points that differ only in the
+    number of trees or rounds, or in the depth of a forest, are scored from one
+    fit: a forest of 200 trees holds one of 50 as its first trees, and a deep tree a
+    shallow one as its top. The fits run as concurrent Spark jobs on cached folds.
     """
     grid = parameter_grid(config)
+    names = list(grid)
+    points = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
+    alike: dict[tuple, list[int]] = {}
+    for i, p in enumerate(points):
+        alike.setdefault(tuple((k, v) for k, v in p.items() if k not in PREFIXES[config.model_type]), []).append(i)
     folded = (features.stratified_folds(df, label, config.folds, config.seed, key)
               .withColumn("unit_weight", F.lit(1.0))
               .select("features", "label_index", "weight", "unit_weight", "fold").persist())
     try:
-        total = float(folded.count())
-        folds = folded.agg(F.max("fold")).first()[0] + 1
-        est = estimator(config, "weight" if config.balanced else "unit_weight", total)
-        builder, spelled = ParamGridBuilder(), []
-        for name, values in grid.items():
-            param, converted = _ml_params(est, name, values, total)
-            builder.addGrid(param, converted)
-            spelled.append((name, dict(zip(map(str, converted), values)), param))
-        maps = builder.build()
-        cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=MacroF1(), numFolds=folds,
-                            foldCol="fold", parallelism=config.parallelism).fit(folded)
+        facts = folded.agg(F.count(F.lit(1)).alias("n"), F.max("fold").alias("last"), F.max("label_index").alias("top")).first()
+        folds, n_classes, total = facts["last"] + 1, int(facts["top"]) + 1, float(facts["n"])
+
+        def one(job: tuple[int, list[int]]) -> tuple[list[int], list[dict[str, float]]]:
+            fold, which = job
+            return which, _fold_scores(folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold),
+                                       [replace(config, **points[i]) for i in which], n_classes, total)
+
+        jobs = [(fold, which) for which in alike.values() for fold in range(folds)]
+        sums = [0.0] * len(points)
+        with ThreadPoolExecutor(config.parallelism) as pool:
+            for which, found in pool.map(inheritable_thread_target(df.sparkSession)(one), jobs):
+                for i, scores in zip(which, found):
+                    sums[i] += scores[config.scoring] / folds
+        best = max(range(len(points)), key=lambda i: sums[i])
+        chosen = replace(config, **points[best])
+        model = estimator(chosen, "weight" if chosen.balanced else "unit_weight", total).fit(folded)
     finally:
         folded.unpersist()
-    rows = []
-    for point, score in zip(maps, cv.avgMetrics):
-        named = {name: back[str(point[param])] for name, back, param in spelled}
-        rows.append((config.model_type, json.dumps(named), float(score)))
-    best = max(range(len(rows)), key=lambda i: rows[i][2])
-    results = df.sparkSession.createDataFrame(rows, "model_type string, params string, macro_f1 double")
-    return Tuned(cv.bestModel, replace(config, **json.loads(rows[best][1])), rows[best][2], results)
+    rows = [(config.model_type, json.dumps(p), folds, s) for p, s in zip(points, sums)]
+    results = df.sparkSession.createDataFrame(rows, f"model_type string, params string, n_folds int, {config.scoring} double")
+    return Tuned(model, chosen, sums[best], results)
 
 
 @dataclass
@@ -372,52 +404,128 @@ def inference_check(df: DataFrame, model: LogModel, label: str = "root_cause_lab
                                       (F.col(label) == F.col("prediction")).alias("correct"))
 
 
-# Rows per shuffle group of a permutation; groups keep the permutation parallel.
-PERMUTATION_GROUP = 10_000
-
-
 def permutation_importance(df: DataFrame, model: LogModel, names: list[str], repeats: int = 10, seed: int = 42,
                            label: str = "root_cause_label", key: str = "log_id",
                            per_class: bool = True, digits: int | None = None) -> DataFrame:
     """Rows (label, feature, importance): the mean drop of the score when one feature is shuffled.
 
     ``per_class`` uses the one-vs-rest area of each class; otherwise accuracy,
-    with an empty label. Each repeat passes every row's value on to the next row
-    in a random order, within random groups, so no task orders all rows. All
-    features of a repeat are evaluated in one job; a row that is given its own
-    value again keeps its prediction and is not scored anew.
+    with an empty label. Each repeat passes every row's values on to the next
+    row in a random order of all rows. Only the entries that change are scored
+    anew, features the model does not use not at all, and an area changes by
+    the scores that have moved: the area counts pairs, so the change is the
+    moved scores against all, all against the moved, and the moved against each other.
     """
-    positions = [model.feature_names.index(n) for n in names]
-    base = (assemble_features(df.select(key, label, *_inputs(df, model)), model.feature_stages)
-            .select(key, F.col(label).alias("truth"), "features"))
-    base = (_predicted(base, model).select(key, "truth", "features", F.col("probability").alias("_probability"),
-                                           F.col("prediction").alias("_prediction")).persist())
-    try:
-        groups = max(1, math.ceil(base.count() / PERMUTATION_GROUP))
-        whole = _points(base.select("truth", F.col("_probability").alias("probability"),
-                                    F.col("_prediction").alias("prediction"), F.lit(1).alias("_n")), model, [],
-                        per_class, digits).persist()
-        before = _values(whole, [], per_class)
-        listed = F.broadcast(df.sparkSession.createDataFrame([(n,) for n in names], "feature string"))
-        after = []
-        for r in range(repeats):
-            moved = _predicted(_shuffled(base, key, positions, names, groups, seed + r, changed=True), model)
-            states = F.array(F.struct("probability", "prediction", F.lit(1).alias("_n")),
-                             F.struct(F.col("_probability").alias("probability"),
-                                      F.col("_prediction").alias("prediction"), F.lit(-1).alias("_n")))
-            change = _points(moved.select("feature", "truth", F.inline(states)), model, ["feature"], per_class, digits)
-            points = whole.crossJoin(listed).unionByName(change).groupBy("feature", "label", "score").agg(
-                F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter("pos <> 0 or neg <> 0")
-            after.append(_values(points, ["feature"], per_class))
-        after = reduce(DataFrame.unionByName, after)
-        drop = (after.groupBy("feature", "label").agg(F.avg("value").alias("after"))
-                .join(before.withColumnRenamed("value", "before"), "label")
-                .select("label", "feature", (F.col("before") - F.col("after")).alias("importance")))
-        rows = drop.collect()  # classes x listed features
-        whole.unpersist()
-        return df.sparkSession.createDataFrame(rows, drop.schema)
-    finally:
-        base.unpersist()
+    spark, width = df.sparkSession, len(model.feature_names)
+    judge = prefixes.scorer(spark, model.classifier)
+    listed = {model.feature_names.index(n): n for n in names}
+    used = [p for p in listed if judge.uses(p)]
+    truth = F.array_position(text.string_array(model.labels), F.col(label)).cast("int") - 1
+    base = materialize(assemble_features(df.select(key, label, *_inputs(df, model)), model.feature_stages).select(
+        key, F.coalesce(truth, F.lit(-1)).alias("truth"), *sparse("features")), "permuted")
+    moved = _given(base, key, repeats, seed)
+    n_classes = judge.n_classes
+    schema = "repeat int, feature int, label int, score double, pos long, neg long"
+
+    def counted(repeat, feature, label_at, score, own, n) -> pd.DataFrame:
+        return pd.DataFrame({"repeat": repeat, "feature": feature, "label": label_at, "score": score,
+                             "pos": np.where(own, n, 0), "neg": np.where(own, 0, n)})
+
+    def cells(scores: np.ndarray, truth_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(label, score, own) of rows and classes; right or wrong as one class of equal scores for accuracy."""
+        if not per_class:
+            return np.zeros((len(scores), 1), np.int64), np.zeros((len(scores), 1)), (scores.argmax(axis=1) == truth_)[:, None]
+        value = scores if digits is None else np.round(scores, digits)
+        at = np.broadcast_to(np.arange(n_classes), value.shape)
+        return at, value, at == truth_[:, None]
+
+    def plain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for a in range(0, len(pdf), prefixes.ROWS):
+                part = pdf.iloc[a:a + prefixes.ROWS]
+                x = prefixes.dense(part["indices"], part["values"], width)
+                at, value, own = cells(judge.scores(judge.state(x)), part["truth"].to_numpy())
+                yield counted(0, 0, at.ravel(), value.ravel(), own.ravel(), 1)
+
+    def changed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for a in range(0, len(pdf), prefixes.ROWS):
+                part = pdf.iloc[a:a + prefixes.ROWS]
+                x, given = (prefixes.dense(part[i], part[v], width) for i, v in (("indices", "values"), ("given_at", "given")))
+                truth_, repeat = part["truth"].to_numpy(), part["repeat"].to_numpy()
+                state = judge.state(x)
+                before = cells(judge.scores(state), truth_)
+                for f in used:
+                    rows = np.flatnonzero(x[:, f] != given[:, f])
+                    if not len(rows):
+                        continue
+                    after = cells(judge.again(x, state, rows, f, given[rows, f]), truth_[rows])
+                    old = tuple(c[rows] for c in before)
+                    moves = (old[1] != after[1]) | (old[2] != after[2])
+                    which = np.nonzero(moves)[0]
+                    for c, n in ((old, -1), (after, 1)):
+                        yield counted(repeat[rows][which], f, c[0][moves], c[1][moves], c[2][moves], n)
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("repeat", "feature", "label", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+    whole = summed(base.mapInPandas(plain, schema)).select("label", "score", "pos", "neg")
+    delta = materialize(summed(moved.mapInPandas(changed, schema)).filter("pos <> 0 or neg <> 0"), "moved-scores")
+    names_of = spark.createDataFrame([(i, n) for i, n in enumerate(model.labels if per_class else [""])], "at int, label string")
+    grid = spark.createDataFrame([(p, n) for p, n in listed.items()], "feature_at int, feature string")
+    if per_class:
+        drop = _area_drops(materialize(whole, "scores"), delta)
+    else:
+        total = whole.agg(F.sum(F.col("pos") + F.col("neg")).alias("total"))
+        drop = delta.groupBy("feature", "label").agg(F.sum("pos").alias("gain")).join(F.broadcast(total)).select(
+            "feature", "label", (-F.col("gain") / F.col("total")).alias("drop"))
+    known = whole.groupBy(F.col("label").alias("at")).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    usable = F.lit(True) if not per_class else (F.col("p") > 0) & (F.col("n") > 0)
+    rows = (known.join(names_of, "at").select("at", "label", usable.alias("usable")).collect(),
+            {(r["label"], r["feature"]): r["drop"] for r in drop.collect()}, grid.collect())  # classes x listed features
+    return spark.createDataFrame(
+        [(k["label"], g["feature"], rows[1].get((k["at"], g["feature_at"]), 0.0) / repeats if k["usable"] else None)
+         for k in rows[0] for g in rows[2]], "label string, feature string, importance double")
+
+
+def _given(base: DataFrame, key: str, repeats: int, seed: int) -> DataFrame:
+    """Each row for each repeat, with the entries (given_at, given) of the next row in a random order; the last gets the first's.
+
+    Ranges of the order are dealt to parts; a part's last row gets the first row of the next part.
+    """
+    place = F.xxhash64(key, F.col("repeat") + F.lit(seed), F.lit("place"))
+    many = base.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("_place", place)
+    order = ["repeat", "_place", key]
+    dealt = materialize(many.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()), "order")
+    entry = F.struct("indices", "values")
+    heads = dealt.groupBy("repeat", "_part").agg(F.min_by(entry, F.struct("_place", key)).alias("_head"))
+    parts = Window.partitionBy("repeat").orderBy("_part")
+    heads = heads.select("repeat", "_part", F.coalesce(F.lead("_head").over(parts), F.first("_head").over(
+        parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_head"))
+    inside = Window.partitionBy("repeat", "_part").orderBy("_place", key)
+    return (dealt.withColumn("_next", F.lead(entry).over(inside)).join(heads, ["repeat", "_part"])
+            .withColumn("_next", F.coalesce("_next", "_head"))
+            .select("repeat", "truth", "indices", "values", F.col("_next.indices").alias("given_at"), F.col("_next.values").alias("given")))
+
+
+def _area_drops(whole: DataFrame, delta: DataFrame) -> DataFrame:
+    """(feature, label, drop): by how much the areas of all repeats together fall when the scores ``delta`` move.
+
+    ``whole`` has (label, score, pos, neg), ``delta`` (repeat, feature, label, score, pos, neg) with signed counts.
+    """
+    zero = F.lit(0).cast("long")
+    spots = whole.unionByName(delta.select("label", "score", zero.alias("pos"), zero.alias("neg"))).groupBy("label", "score").agg(
+        F.sum("pos").alias("w_pos"), F.sum("neg").alias("w_neg"))
+    run = evaluate.sums_before(spots, ["label"], "score", ["w_pos", "w_neg"])
+    totals = whole.groupBy("label").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    against = delta.join(run, ["label", "score"]).join(F.broadcast(totals), "label").groupBy("feature", "label").agg(
+        F.sum(F.col("pos") * (F.col("w_neg_before") + F.col("w_neg") / 2.0)
+              + F.col("neg") * (F.col("p") - F.col("w_pos_before") - F.col("w_pos") / 2.0)).alias("wins"),
+        F.first("p").alias("p"), F.first("n").alias("n"))
+    own = evaluate.sums_before(delta, ["repeat", "feature", "label"], "score", ["neg"]).groupBy("feature", "label").agg(
+        F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("own"))
+    return against.join(own, ["feature", "label"]).select(
+        "feature", "label", (-F.try_divide(F.col("wins") + F.col("own"), F.col("p").cast("double") * F.col("n").cast("double"))).alias("drop"))
 
 
 def _inputs(df: DataFrame, model: LogModel) -> list[str]:
@@ -426,6 +534,8 @@ def _inputs(df: DataFrame, model: LogModel) -> list[str]:
     return [c for c in used if c in df.columns]
 
 
+# The plain form: every row scored again for every feature. Tests hold the patches above against it.
+
 def _shuffled(base: DataFrame, key: str, positions: list[int], names: list[str], groups: int, seed: int,
               changed: bool = False) -> DataFrame:
     """One row per source row and feature, with that feature's value taken from another row.
@@ -480,4 +590,4 @@ def _values(points: DataFrame, by: list[str], per_class: bool) -> DataFrame:
     if not per_class:
         right, wrong = F.sum("pos"), F.sum("neg")
         return points.groupBy(*by, "label").agg(F.try_divide(right.cast("double"), right + wrong).alias("value"))
-    return evaluate._area(points, [*by, "label"]).withColumnRenamed("auc", "value")
+    return evaluate.area(points, [*by, "label"]).withColumnRenamed("auc", "value")

@@ -1,10 +1,11 @@
-"""Exact ranks and quotas inside large groups without sorting a group in one task.
+"""Exact ranks, quotas and running sums inside large groups without sorting a group in one task.
 
 A group (a class) may hold a third of all rows. Rows are ordered by a salted
 hash; the leading hash digits cut each group into many small buckets. Counting
 the buckets gives every bucket's offset, so ranks are only formed inside
 buckets, in parallel. Keys identify rows: they must be unique and not null. Rows
-without a group are a group of their own.
+without a group are a group of their own. Running sums over an order that has to
+be kept (scores) are formed inside ranges of (group, order) of about equal size.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import null_safe_join
+from ..session import materialize
 
 # Rows a bucket should hold at most, were all rows in one group.
 BUCKET_ROWS = 100_000
@@ -79,3 +81,24 @@ def first_by_hash(df: DataFrame, group: str, key: str, seed: int, quotas: DataFr
     return (null_safe_join(ordered, last, [group], "left")
             .withColumn(out, F.coalesce(before_or_at, F.lit(False)))
             .drop("_order", "_bucket", "_last", "_last_key"))
+
+
+def sums_before(points: DataFrame, keys: list[str], order: str, sums: list[str], ascending: bool = True) -> DataFrame:
+    """Add ``<s>_before`` for each s in ``sums``: the total over the rows of the same group that come strictly earlier.
+
+    ``points`` has one row for each (keys, order), none of them null. A range
+    shuffle deals it to parts of about equal size, whatever the groups and
+    however close their values; only the parts' totals are summed up along a
+    group. The parts are written once, so both steps see the same ones.
+    """
+    by = [*keys, F.col(order).asc() if ascending else F.col(order).desc()]
+    dealt = materialize(points.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_part", F.spark_partition_id()),
+                        "ranges")
+    zero = F.lit(0).cast("bigint")
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*keys, "_part").agg(*[F.sum(s).alias(f"_{s}") for s in sums]).select(
+        *keys, "_part", *[F.coalesce(F.sum(f"_{s}").over(earlier), zero).alias(f"_{s}_offset") for s in sums])
+    inside = Window.partitionBy(*keys, "_part").orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    local = dealt.select("*", *[F.coalesce(F.sum(s).over(inside), zero).alias(f"_{s}_inside") for s in sums])
+    return local.join(totals, [*keys, "_part"]).select(
+        *points.columns, *[(F.col(f"_{s}_inside") + F.col(f"_{s}_offset")).alias(f"{s}_before") for s in sums])
