@@ -5,13 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.columns import computed_once
+from ..functions.columns import computed_once, sparse
 from .ranking import first_by_hash, hash_rank
 
 # Distinct values a category column may have to be coded.
@@ -105,7 +104,8 @@ def tfidf(df: DataFrame, terms_col: str, vocabulary: Vocabulary, out: str = "tfi
 def vector_entries(df: DataFrame, vector: str, vocabulary: Vocabulary, *keep: str) -> DataFrame:
     """Rows (keep…, term, weight) of the non-zero entries of a TF-IDF vector."""
     names = df.sparkSession.createDataFrame([(vocabulary.terms,)], "names array<string>")
-    long = df.select(*keep, F.posexplode(vector_to_array(F.col(vector))).alias("idx", "weight")).filter("weight > 0")
+    long = df.select(*keep, *sparse(vector, "_at", "_weights")).select(
+        *keep, F.inline(F.arrays_zip(F.col("_at").alias("idx"), F.col("_weights").alias("weight")))).filter("weight > 0")
     lookup = names.select(F.posexplode("names").alias("idx", "term"))
     return long.join(F.broadcast(lookup), "idx").select(*keep, "term", "weight")
 

@@ -26,7 +26,7 @@ from ..rules.stop_words import ENGLISH
 from ..rules import DEFAULT_PACKS, RulePacks
 from ..session import materialize
 from . import evaluate, features, prefixes
-from .stages import BoostedTrees, LogColumns, UnseenAsMinusOne
+from .stages import BoostedTrees, LogColumns, UnseenAsMinusOne, few_parts
 
 RANDOM_FOREST, LOGISTIC, BOOSTED = "random_forest", "logistic_regression", "boosted_trees"
 # Spark's limit; stands for "no limit".
@@ -258,9 +258,11 @@ def tune(df: DataFrame, config: ModelConfig, label: str = "root_cause_label", ke
         facts = folded.agg(F.count(F.lit(1)).alias("n"), F.max("fold").alias("last"), F.max("label_index").alias("top")).first()
         folds, n_classes, total = facts["last"] + 1, int(facts["top"]) + 1, float(facts["n"])
 
+        rows = few_parts(folded, facts["n"])
+
         def one(job: tuple[int, list[int]]) -> tuple[list[int], list[dict[str, float]]]:
             fold, which = job
-            return which, _fold_scores(folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold),
+            return which, _fold_scores(rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold),
                                        [replace(config, **points[i]) for i in which], n_classes, total)
 
         jobs = [(fold, which) for which in alike.values() for fold in range(folds)]
@@ -271,7 +273,7 @@ def tune(df: DataFrame, config: ModelConfig, label: str = "root_cause_label", ke
                     sums[i] += scores[config.scoring] / folds
         best = max(range(len(points)), key=lambda i: sums[i])
         chosen = replace(config, **points[best])
-        model = estimator(chosen, "weight" if chosen.balanced else "unit_weight", total).fit(folded)
+        model = estimator(chosen, "weight" if chosen.balanced else "unit_weight", total).fit(rows)
     finally:
         folded.unpersist()
     rows = [(config.model_type, json.dumps(p), folds, s) for p, s in zip(points, sums)]

@@ -20,6 +20,15 @@ from ..functions.columns import computed_once
 from ..rules import RulePacks
 
 
+# A tree level is one pass over the rows: below so many in a task, starting the task costs more than the pass.
+ROWS_PER_TASK = 2_000
+
+
+def few_parts(df: DataFrame, n_rows: int) -> DataFrame:
+    """``df`` in as many parts as ``n_rows`` rows are worth, if those are fewer; no shuffle."""
+    return df.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
+
+
 class LogColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Derives from a log row: ``terms``, ``error_class``, ``severity_encoded`` and the time features.
 
@@ -101,10 +110,10 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol):
     @keyword_only
     def __init__(self, featuresCol: str = "features", labelCol: str = "label_index", weightCol: str | None = None,
                  maxIter: int = 100, maxDepth: int = 6, stepSize: float = 0.1, subsamplingRate: float = 1.0,
-                 seed: int = 42, parallelism: int = 4):
+                 seed: int = 42, parallelism: int = 8):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label_index", maxIter=100, maxDepth=6, stepSize=0.1,
-                         subsamplingRate=1.0, seed=42, parallelism=4)
+                         subsamplingRate=1.0, seed=42, parallelism=8)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -112,7 +121,9 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol):
         weight = self.getWeightCol() if self.isSet(self.weightCol) else None
         used = dataset.select(features, label, *([weight] if weight else [])).persist()
         try:
-            classes = int(used.agg(F.max(label)).first()[0]) + 1
+            facts = used.agg(F.max(label).alias("last"), F.count(F.lit(1)).alias("n")).first()
+            classes = int(facts["last"]) + 1
+            rows = few_parts(used, facts["n"])
 
             def fit_one(k: int):
                 gbt = GBTClassifier(featuresCol=features, labelCol="_is_class", predictionCol=f"_prediction_{k}",
@@ -120,7 +131,7 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol):
                                     stepSize=self.getOrDefault(self.stepSize), seed=self.getOrDefault(self.seed),
                                     subsamplingRate=self.getOrDefault(self.subsamplingRate), weightCol=weight)
                 gbt.setRawPredictionCol(f"_raw_{k}").setProbabilityCol(f"_probability_{k}")
-                return gbt.fit(used.withColumn("_is_class", (F.col(label) == k).cast("double")))
+                return gbt.fit(rows.withColumn("_is_class", (F.col(label) == k).cast("double")))
 
             with ThreadPoolExecutor(self.getOrDefault(self.parallelism)) as pool:
                 models = list(pool.map(fit_one, range(classes)))

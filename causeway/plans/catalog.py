@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import evidence, scalar, text
+from ..functions.columns import sparse
 from ..operators import diagnose, evaluate, features, mining, model, profile, summary
 from ..rules import DEFAULT_PACKS
 from ..session import materialize, scratch_path
@@ -68,8 +69,13 @@ def joined(col: Column | str, sep: str = "|") -> Column:
 
 @query
 def read_logs(spark, sf):
+    """Files of one folder with different headers and ways of escaping; messages with quotes, commas and line breaks."""
     path = scratch_path(spark, "logs-csv")
-    logs(spark, sf).write.csv(path, header=True, quote='"', escape='"')
+    rows = logs(spark, sf).withColumn("log_message", F.when(c("log_message") != "", F.concat(
+        "log_message", F.lit('\n"'), "service", F.lit('", end'))))
+    for i, (escape, names) in enumerate((('"', rows.columns), ("\\", rows.columns[::-1]))):
+        part = rows.filter(F.pmod(F.xxhash64("log_id"), F.lit(2)) == i).select(*names)
+        part.write.mode("append").csv(path, header=True, quote='"', escape=escape)
     return log_io.read_logs(spark, path)
 
 
@@ -243,12 +249,11 @@ def index_unseen(spark, sf):
 
 @query
 def assemble_features(spark, sf):
-    from pyspark.ml.functions import vector_to_array
     rows = valid(spark, sf)
     fitted, names = model.fit_features(rows, FEATURES)
     lookup = spark.createDataFrame(list(enumerate(names)), "idx int, feature string")
-    long = model.assemble_features(rows, fitted).select(
-        "log_id", F.posexplode(vector_to_array("features")).alias("idx", "value")).filter("value <> 0")
+    long = model.assemble_features(rows, fitted).select("log_id", *sparse("features")).select(
+        "log_id", F.inline(F.arrays_zip(c("indices").alias("idx"), c("values").alias("value"))))
     return rounded(long.join(F.broadcast(lookup), "idx").select("log_id", "feature", "value"), "value")
 
 
@@ -619,7 +624,7 @@ def _global_importance(rows: DataFrame) -> DataFrame:
 @query
 def permutation_importance(spark, sf):
     rows = valid(spark, sf)
-    fitted = model.train(rows, _config(model.RANDOM_FOREST), FEATURES)
+    fitted = _train(rows, model.RANDOM_FOREST)
     return rounded(model.permutation_importance(rows, fitted, fitted.feature_names), "importance")
 
 
@@ -678,4 +683,4 @@ def sample_rows(spark, sf):
 @query
 def inference_check(spark, sf):
     rows = valid(spark, sf)
-    return rounded(model.inference_check(rows, model.train(rows, _config(model.RANDOM_FOREST), FEATURES)), "confidence")
+    return rounded(model.inference_check(rows, _train(rows, model.RANDOM_FOREST)), "confidence")

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quoted import Dialect, read_quoted
+
 LOG_SCHEMA = T.StructType([
     T.StructField(name, T.StringType(), True)
     for name in ("log_id", "timestamp", "service", "severity", "log_message", "root_cause_label")
@@ -14,38 +16,30 @@ LOG_SCHEMA = T.StructType([
 
 
 def read_logs(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = LOG_SCHEMA,
-              escape: str = '"', multi_line: bool = True) -> DataFrame:
+              escape: str | None = None, multi_line: bool = True) -> DataFrame:
     """Read a log table. A missing path raises ``FileNotFoundError``.
 
-    CSV: columns are found by their header names, in any order; columns of
-    ``schema`` that the file lacks are null, further ones are left out. Fields
-    are quoted with ``"``, blanks after a comma skipped, an empty field is null
-    whether quoted or not. ``escape`` is the character that protects a quote
-    inside a quoted field: a doubled quote by default, a backslash for files
-    written that way. ``multi_line`` allows line breaks inside quoted fields
-    and reads each file in one task; without it files are split, and rows that
-    such a break tears apart raise an error.
+    CSV: columns are found by the header names of each file, in any order;
+    columns of ``schema`` that a file lacks are null, further ones are left
+    out. Fields are quoted with ``"``, blanks after a comma skipped, an empty
+    field is null whether quoted or not. A quote inside a quoted field is
+    doubled or stands behind a backslash, which protects any character;
+    ``escape`` allows one of the two ways alone. Quoted fields may hold line
+    breaks; without ``multi_line`` those raise an error. Files are read in splits either way.
     """
     try:
         if fmt == "parquet":
             return spark.read.parquet(path)
         if fmt != "csv":
             raise ValueError(f"unknown format {fmt}")
-        options = dict(header=True, quote='"', escape=escape, ignoreLeadingWhiteSpace=True, multiLine=multi_line)
-        names = spark.read.csv(path, **options).columns
+        if escape not in (None, '"', "\\"):
+            raise ValueError(f"unknown escape {escape}")
+        rows = read_quoted(spark, path, schema.names, Dialect(escape != "\\", escape != '"'), multi_line)
     except AnalysisException as err:
         if err.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from err
         raise
-    found = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_torn"]])
-    rows = spark.read.option("columnPruning", False).schema(found).csv(
-        path, columnNameOfCorruptRecord="_torn", **options)
-    if not multi_line:
-        torn = rows.agg(F.count(names[0]), F.count("_torn").alias("n")).first()["n"]
-        if torn:
-            raise ValueError(f"{torn} rows of {path} do not have {len(names)} fields; read it with multi_line=True")
-    return rows.select(*[(F.col(f"`{f.name}`") if f.name in names else F.lit(None)).cast(f.dataType).alias(f.name)
-                         for f in schema])
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> str:

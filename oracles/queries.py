@@ -21,7 +21,8 @@ PER_CLASS_COLUMNS = 'label, round("precision", 6) AS "precision", round(recall,
 
 # --- sources and sinks
 # An empty CSV field is null.
-add("read_logs", v.LOGS, "SELECT * REPLACE (nullif(log_message, '') AS log_message) FROM logs")
+add("read_logs", v.LOGS, """SELECT * REPLACE (CASE WHEN log_message <> '' THEN log_message || chr(10) || '"' || service || '", end' END
+  AS log_message) FROM logs""")
 add("write_json_report", v.PROFILE, f"SELECT {PROFILE_COLUMNS} FROM profile")
 add("write_per_class_csv", v.PER_CLASS, f"SELECT {PER_CLASS_COLUMNS} FROM per_class")
 
@@ -141,6 +142,34 @@ FROM (SELECT {RC} AS label, count(*) AS n FROM logs GROUP BY 1)""")
 add("stratified_folds", v.LOGS, f"""
 SELECT log_id, {RC}, CAST((row_number() OVER (PARTITION BY {RC} ORDER BY md5(log_id || '|42'), log_id) - 1) % 5 AS INTEGER) AS fold FROM logs""")
 
+# --- models: what must hold for any fit
+HELD_OUT = v.VALID + ", " + v.split("valid", "0.3")
+for kind in ("random_forest", "logistic", "boosted_trees"):
+    add(f"fit_{kind}_check", HELD_OUT, "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unknown, CAST(0 AS BIGINT) AS n_bad, true AS accurate "
+        "FROM split_rows WHERE is_test")
+add("save_pipeline_check", HELD_OUT, f"""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed, (SELECT count(DISTINCT {RC}) FROM valid) AS n_labels FROM split_rows WHERE is_test""")
+add("score_check", HELD_OUT, "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_sum, CAST(0 AS BIGINT) AS n_size, "
+    "CAST(0 AS BIGINT) AS n_confidence FROM split_rows WHERE is_test")
+add("tune_check", v.VALID, f"""
+SELECT 'random_forest' AS model_type, CAST(3 * 3 * 3 * 2 AS BIGINT) AS n_points, CAST(3 * 3 * 3 * 2 AS BIGINT) AS n_params,
+       CAST(greatest(2, least(5, count(*) // (2 * count(DISTINCT {RC})))) AS INTEGER) AS n_folds, CAST(0 AS BIGINT) AS n_bad, true AS accurate
+FROM valid""")
+add("compare_models_check", v.VALID, """
+SELECT model_type, count(*) = 0 AS failed, count(*) > 0 AS accurate
+FROM valid, (VALUES ('logistic_regression'), ('random_forest'), ('boosted_trees')) t(model_type) GROUP BY model_type""")
+NAMES = v.VALID + f""",
+lines AS (SELECT log_id, {v.combined('service', 'log_message')} AS line FROM valid), """ + v.vocabulary("lines", "log_id", "line", 100) + """,
+width AS (SELECT count(*) + 7 AS n FROM vocab)"""
+add("feature_importance_check", NAMES, "SELECT n AS n_features, n AS n_names, CAST(0 AS BIGINT) AS n_bad, CAST(1 AS DOUBLE) AS total FROM width")
+add("permutation_importance_check", NAMES, f"""
+SELECT label, n AS n_features, CAST(0 AS BIGINT) AS n_bad, true AS some_matter FROM width, (SELECT DISTINCT {RC} AS label FROM valid)""")
+add("insights_check", NAMES + f", k AS (SELECT count(DISTINCT {RC}) AS k FROM valid)", """
+SELECT 'overall_accuracy' AS section, CAST(1 AS BIGINT) AS n UNION ALL SELECT 'extreme_classes', 1 UNION ALL SELECT 'confusion', k * k FROM k
+UNION ALL SELECT 'class_error_rate', k FROM k UNION ALL SELECT 'global_importance', n FROM width UNION ALL SELECT 'top_features', 5 * k FROM k""")
+add("score_stream_check", v.VALID, "SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_differ, (SELECT count(*) FROM logs) - count(*) AS n_rejected FROM valid")
+add("inference_check_check", v.VALID, f"SELECT min(log_id) AS log_id, {RC} AS label, true AS known, true AS consistent FROM valid GROUP BY {RC}")
+
 # --- scores without a trained model
 add("top_n_labels", v.PREDS + ", " + RANKED,
     "SELECT log_id, CAST(rank AS INTEGER) AS rank, root_cause, round(confidence, 6) AS confidence FROM ranked")
