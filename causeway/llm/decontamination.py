@@ -1,10 +1,11 @@
 """Benchmark decontamination: windows of benchmark words found in documents.
 
 The windows of all items form a hash relation that is broadcast while its size
-is below a checked bound; beyond it, the same join is a shuffle join. Every
-window of every document probes it, and a hit is a hit only if the words are
-equal, not their hash alone. All is built-in expressions: one scan of the
-documents, and only hits (and one row a document) are shuffled.
+is below a checked bound; beyond it, the same join is a shuffle join. A place of
+a document is looked up if the hash of its first words is in the set of those of
+the benchmark windows, so few windows are put together; a hit is a hit only if
+all words are equal, not their hash alone. All is built-in expressions: one scan
+of the documents, and only hits (and one row a document) are shuffled.
 """
 
 from __future__ import annotations
@@ -12,20 +13,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_key, words
+from .common import cut, text_key, words
 
 WINDOW = 10
-# Windows of all items that may be broadcast: some 100 bytes each.
+# Windows of all items, counted once for each item that has them, that may be broadcast: some 100 bytes each.
 BROADCAST_WINDOWS = 500_000
+# First words of a window whose hash is looked up before the window is put together.
+HEAD = 3
 
 
-def windows_of(tokens: Column, n: int | Column) -> Column:
-    """Struct (pos, window) for each run of ``n`` words, words joined with a blank."""
+def starts_of(tokens: Column, n: int | Column) -> Column:
+    """The places at which ``n`` words begin."""
     last = F.size(tokens) - n
-    return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.struct(i.alias("pos"), F.concat_ws(" ", F.slice(tokens, i + 1, n)).alias("window")))
-    ).otherwise(F.array().cast("array<struct<pos:int,window:string>>"))
+    return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+
+def windows_of(tokens: Column, n: int | Column, starts: Column | None = None) -> Column:
+    """Struct (pos, window) for each run of ``n`` words, words joined with a blank."""
+    return F.transform(starts_of(tokens, n) if starts is None else starts, lambda i: F.struct(
+        i.alias("pos"), F.concat_ws(" ", F.slice(tokens, i + 1, n)).alias("window")))
+
+
+def head_hash(tokens: str, n: int, start: str = "0") -> str:
+    """Hash of the first words of a window of ``n`` words, as SQL text."""
+    return f"xxhash64({', '.join(f'get({tokens}, {start} + {k})' for k in range(min(n, HEAD)))})"
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text",
@@ -55,27 +66,40 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     Other columns of either table are not looked at. An empty benchmark or
     document table gives no hits.
     """
-    bench = benchmark_windows(benchmark, item, item_text, window)
-    sizes = bench.groupBy("n").count().collect()  # at most ``window`` rows
-    if sum(r["count"] for r in sizes) <= broadcast_windows:
-        bench = F.broadcast(bench)
-    lengths = sorted(r["n"] for r in sizes)
+    bench = cut(benchmark_windows(benchmark, item, item_text, window))
+    sizes = bench.groupBy("n").agg(F.sum(F.size("items")).alias("size")).collect()  # at most ``window`` rows
+    small = sum(r["size"] for r in sizes) <= broadcast_windows
     own = docs.select(F.col(key).alias("_key"), text_key(F.col(text)).alias("_text"), words(F.col(text)).alias("_words"))
     kind = "array<struct<n:int,pos:int,window:string>>"
-    # One row a document carries its number of words; it meets no window.
-    parts = [F.array(F.struct(F.lit(0).alias("n"), F.size("_words").alias("pos"), F.lit(None).cast("string")
-                              .alias("window"))).cast(kind)]
+    parts = [F.array().cast(kind)]
 
-    def numbered(n: int) -> Column:
-        return F.transform(windows_of(F.col("_words"), n), lambda w: F.struct(
+    def numbered(n: int, starts: Column | None) -> Column:
+        return F.transform(windows_of(F.col("_words"), n, starts), lambda w: F.struct(
             F.lit(n).alias("n"), w["pos"].alias("pos"), w["window"].alias("window"))).cast(kind)
-    parts += [numbered(n) for n in lengths]
-    rows = own.select("_key", "_text", F.inline(F.concat(*parts)))
-    met = rows.join(bench, ["n", "window"], "left").filter((F.col("n") == 0) | F.col("items").isNotNull())
-    hit = F.col("n") > 0
+    for n in sorted(r["n"] for r in sizes):
+        starts = None
+        if small:
+            heads = bench.filter(F.col("n") == n).select(F.expr(head_hash("split(window, ' ')", n)).alias("h")).distinct().collect()
+            # As SQL text, which takes many literals quickly; Spark looks them up in a hash set.
+            known = ", ".join(f"{r['h']}L" if r["h"] != -1 << 63 else "(-9223372036854775807L - 1L)" for r in heads)
+            starts = F.expr(
+                f"filter(CASE WHEN size(_words) >= {n} THEN sequence(0, size(_words) - {n}) ELSE array() END, "
+                f"i -> {head_hash('_words', n, 'i')} IN ({known}))")
+        parts.append(numbered(n, starts))
+    own = own.select("_key", "_text", F.size("_words").alias("_n"), F.concat(*parts).alias("_windows"))
+    if small:
+        # The first row of a document carries its number of words, be it a window or not.
+        rows = own.select("_key", "_text", "_n", F.posexplode_outer("_windows").alias("_at", "_w")).select(
+            "_key", "_text", "_n", (F.coalesce("_at", F.lit(0)) == 0).alias("_first"), "_w.*")
+        met = rows.join(F.broadcast(bench), ["n", "window"], "left").filter(F.col("_first") | F.col("items").isNotNull())
+    else:
+        hits = own.select("_key", "_text", F.inline("_windows")).join(bench, ["n", "window"])
+        ones = own.select("_key", "_text", "_n", F.lit(True).alias("_first"))
+        met = ones.unionByName(hits.select("_key", "_text", "n", "pos", "items"), allowMissingColumns=True)
+    hit = F.col("items").isNotNull()
     found = met.groupBy("_key", "_text").agg(
-        F.sum(F.when(hit, 0).otherwise(1)).alias("_copies"),
-        F.max(F.when(~hit, F.col("pos"))).cast("long").alias("n_words"),
+        F.sum(F.col("_first").cast("int")).alias("_copies"),
+        F.max("_n").cast("long").alias("n_words"),
         F.sort_array(F.collect_set(F.when(hit, F.struct(
             F.col("pos").alias("start"), (F.col("pos") + F.col("n")).alias("end"))))).alias("_hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
