@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bags import shingle_bags, word_lists
-from .common import cut, text_key
+from .common import arrow_rows, cut, text_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -344,6 +344,11 @@ def _several(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _classes(docs: DataFrame, similarity: float, key: str, text: str) -> DataFrame:
     """Rows (key, text_key, node, class_id, class_rows), one for each row of ``docs``."""
+    with arrow_rows(docs.sparkSession, 1_000):  # texts and bags are large: few at a time beside each worker
+        return _joined(docs, similarity, key, text)
+
+
+def _joined(docs: DataFrame, similarity: float, key: str, text: str) -> DataFrame:
     rows = cut(sketch(docs, key, text))
     one = F.first(F.struct("key", "text_key", "width", "bands")).alias("one")
     nodes = cut(rows.filter(F.col("digest").isNotNull()).groupBy("digest")
@@ -390,7 +395,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str =
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class with the columns of ``docs``: the one of the smallest key, of equal keys the first text.
 
-    Texts without words stay as they are.
+    Texts without words (null, empty, signs only) stay as they are. A null key is
+    smaller than no key: a class keeps a row with a key if it has one. Of rows that
+    repeat a key and text one stays. Columns may have any name. An empty table gives an empty result.
     """
     found = cut(_classes(docs, similarity, key, text))
     # The rows that stay, by key and text: of each class its smallest key, there its smallest text key.
