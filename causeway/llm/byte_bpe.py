@@ -20,7 +20,19 @@ from tokenizers import Tokenizer
 # A blank at which any text may be cut: printable ASCII or a letter or digit on either side.
 SAFE = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 # Words a worker keeps. Frequent words come early; those beyond are encoded again in each call that has them.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
+# New words that go through the library at once.
+WORDS_A_CALL = 512
+# White space besides blanks and line ends.
+ASCII_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+OTHER_SPACES = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
+def is_plain(text: str) -> bool:
+    """Is all white space single blanks and line ends, each with something else on either side?"""
+    return not (text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or "  " in text or " \n" in text or "\n " in text
+                or "\n\n" in text or any(c in text for c in ASCII_SPACES)
+                or not text.isascii() and any(c in text for c in OTHER_SPACES))
 
 
 class ByteBpe:
@@ -36,7 +48,7 @@ class ByteBpe:
         self.opens = np.zeros(1 << 16, bool)  # ids whose piece begins with a blank
         for piece, i in self.tokenizer.get_vocab().items():
             self.opens[i] = piece.startswith("Ġ")
-        self.line_end = int(self.tokenizer.encode("\n", add_special_tokens=False).ids[0])
+        self.line_end = int(self._ids("\n")[0])
         # By word: the ids after a blank; a word with a line end before it stands for both.
         self.known: dict[str, bytes] = {}
 
@@ -48,13 +60,17 @@ class ByteBpe:
         return cls._last[1]
 
     def _plain(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        return self._ids(text).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        """Ids without the offsets that the library's plain call also makes."""
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
 
     def _learn(self, words: list[str], mark: str) -> None:
-        """Encode new words, each after ``mark``, a few thousand to a call; the marks tell them apart again."""
-        for at in range(0, len(words), 4096):
-            some = words[at:at + 4096]
-            ids = np.asarray(self.tokenizer.encode(mark + mark.join(some), add_special_tokens=False).ids, "<u2")
+        """Encode new words, each after ``mark``, some to a call; the marks tell them apart again."""
+        for at in range(0, len(words), WORDS_A_CALL):
+            some = words[at:at + WORDS_A_CALL]
+            ids = self._ids(mark + mark.join(some))
             starts = np.flatnonzero(self.opens[ids] if mark == " " else ids == self.line_end)
             keys = some if mark == " " else [mark + w for w in some]
             if len(starts) == len(some):
@@ -69,8 +85,7 @@ class ByteBpe:
         units: list[str] = []
         bounds, first = [0], []
         for t in texts:
-            if " ".join(t.split()) == t.replace("\n", " "):
-                # All white space is single blanks and line ends, each with something else on either side.
+            if is_plain(t):
                 units += ("\n" + t).replace("\n", " \n")[1:].split(" ") if t else []
                 first.append(b"")
             else:
@@ -78,13 +93,15 @@ class ByteBpe:
                 units += rest
                 first.append(self._plain(head))
             bounds.append(len(units))
-        found = list(map(self.known.get, units))
-        new = sorted(set(compress(units, map(not_, found))))
-        if new:
+        known = self.known
+        found = list(map(known.get, units))
+        missing = list(compress(range(len(units)), map(not_, found)))
+        if missing:
+            new = list(dict.fromkeys(map(units.__getitem__, missing)))
             self._learn([w for w in new if w[:1] != "\n"], " ")
             self._learn([w[1:] for w in new if w[:1] == "\n"], "\n")
-            known = self.known
-            found = [known[u] if v is None else v for u, v in zip(units, found)]
+            for i in missing:
+                found[i] = known[units[i]]
             if len(known) > CACHE_WORDS:
                 for w in new:
                     del known[w]

@@ -30,71 +30,119 @@ END_ID = 0
 BLOCK = 1024
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 16
+ROWS = 32  # values of a lane; a block of n values has n / ROWS lanes
 HEAD = struct.Struct("<IHBH")  # minimum, count, width, exceptions
+_LENGTHS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 
 SCHEMA = ("part int, segment long, part_start long, n_ids long, doc_ids array<long>, doc_sizes array<long>, "
           "block_starts binary, blocks binary")
 
 
-def pack(values: np.ndarray, width: int) -> bytes:
-    """Little-endian bit packing of ``width`` bits a value."""
-    if width == 0:
-        return b""
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+def bit_lengths(values: np.ndarray) -> np.ndarray:
+    """Bits that each value takes, as 8-bit integers."""
+    if values.size and values.max() >= 1 << 16:
+        return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
+    return _LENGTHS[values]
 
 
-def unpack(data: bytes, n: int, width: int) -> np.ndarray:
-    if width == 0:
-        return np.zeros(n, np.uint32)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width, bitorder="little").reshape(n, width)
-    return bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+def pack(values: np.ndarray, width: int) -> np.ndarray:
+    """``width`` bits of each value of many blocks, (blocks, ROWS, lanes) to (blocks, width, lanes).
 
-
-def encode_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
-    """One block: head, packed low bits, then positions (2 bytes) and values (4 bytes) of the exceptions."""
-    low = int(ids.min())
-    rest = (ids - low).astype(np.uint32)
-    at = min(len(rest) - 1, int(np.ceil((len(rest) - 1) * percentile / 100)))
-    width = int(np.partition(rest, at)[at]).bit_length()
-    odd = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
-    packed = rest.copy()
-    packed[odd] = 0
-    return (HEAD.pack(low, len(ids), width, len(odd)) + pack(packed, width)
-            + odd.astype("<u2").tobytes() + rest[odd].astype("<u4").tobytes())
-
-
-def decode_block(data: memoryview | bytes, at: int = 0) -> np.ndarray:
-    low, n, width, n_odd = HEAD.unpack_from(data, at)
-    at += HEAD.size
-    size = (n * width + 7) // 8
-    out = unpack(bytes(data[at:at + size]), n, width)
-    at += size
-    odd = np.frombuffer(data, "<u2", n_odd, at)
-    out[odd] = np.frombuffer(data, "<u4", n_odd, at + 2 * n_odd)
-    return out + np.uint32(low)
+    The values of a lane fill 32-bit words from their low ends, so every step
+    works on all lanes of all blocks.
+    """
+    out = np.zeros((len(values), width, values.shape[2]), np.uint32)
+    for r in range(ROWS if width else 0):
+        word, shift = divmod(r * width, 32)
+        out[:, word] |= values[:, r] << np.uint32(shift)
+        if shift + width > 32:
+            out[:, word + 1] |= values[:, r] >> np.uint32(32 - shift)
+    return out
+
+
+def unpack(packed: np.ndarray) -> np.ndarray:
+    """The values that ``pack`` has packed."""
+    width = packed.shape[1]
+    out = np.zeros((len(packed), ROWS, packed.shape[2]), np.uint32)
+    mask = np.uint32((1 << width) - 1)
+    for r in range(ROWS if width else 0):
+        word, shift = divmod(r * width, 32)
+        part = packed[:, word] >> np.uint32(shift)
+        if shift + width > 32:
+            part |= packed[:, word + 1] << np.uint32(32 - shift)
+        np.bitwise_and(part, mask, out=out[:, r])
+    return out
+
+
+def encode_blocks(values: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
+    """Blocks of equal size, one a row: head, packed low bits, then positions (2 bytes) and values (4 bytes) of the exceptions."""
+    n, size = values.shape
+    lanes = -(-size // ROWS)
+    low = values.min(axis=1)
+    rest = values - low[:, None]
+    bits = bit_lengths(rest)
+    at = min(size - 1, int(np.ceil((size - 1) * percentile / 100)))
+    width = np.partition(bits, at, axis=1)[:, at]
+    odd = bits > width[:, None]
+    block, place = np.nonzero(odd)
+    ends = np.searchsorted(block, np.arange(n + 1))
+    strange = rest[odd].astype("<u4")
+    kept = np.zeros((n, ROWS * lanes), np.uint32)
+    kept[:, :size] = np.where(odd, np.uint32(0), rest)
+    kept = kept.reshape(n, ROWS, lanes)
+    packed: list = [None] * n
+    for w in np.unique(width):
+        which = np.flatnonzero(width == w)
+        for i, words in zip(which, pack(kept[which], int(w)).astype("<u4")):
+            packed[i] = words.tobytes()
+    place = place.astype("<u2")
+    return [b"".join((HEAD.pack(int(low[i]), size, int(width[i]), int(b - a)), packed[i], place[a:b].tobytes(), strange[a:b].tobytes()))
+            for i, (a, b) in enumerate(zip(ends, ends[1:]))]
+
+
+def decode_blocks(data: bytes, offsets: np.ndarray) -> np.ndarray:
+    """The values of the blocks that start at ``offsets``, one after another."""
+    heads = [HEAD.unpack_from(data, int(at)) for at in offsets]
+    ends = np.cumsum([0] + [h[1] for h in heads])
+    out = np.empty(ends[-1], np.uint32)
+    alike: dict[tuple, list[int]] = {}
+    for i, (_, n, width, _) in enumerate(heads):
+        alike.setdefault((n, width), []).append(i)
+    for (n, width), which in alike.items():
+        lanes = -(-n // ROWS)
+        words = np.empty((len(which), width, lanes), np.uint32)
+        for k, i in enumerate(which):
+            words[k] = np.frombuffer(data, "<u4", width * lanes, int(offsets[i]) + HEAD.size).reshape(width, lanes)
+        values = unpack(words).reshape(len(which), -1)
+        for k, i in enumerate(which):
+            low, _, _, n_odd = heads[i]
+            own = values[k, :n]
+            if n_odd:
+                at = int(offsets[i]) + HEAD.size + 4 * width * lanes
+                own[np.frombuffer(data, "<u2", n_odd, at)] = np.frombuffer(data, "<u4", n_odd, at + 2 * n_odd)
+            np.add(own, np.uint32(low), out=out[ends[i]:ends[i + 1]])
+    return out
 
 
 def encode_ids(ids: np.ndarray, block: int = BLOCK) -> tuple[bytes, bytes]:
     """(block starts as little-endian 8-byte offsets, blocks)."""
-    blocks = [encode_block(ids[i:i + block]) for i in range(0, len(ids), block)]
+    ids = ids.astype(np.uint32, copy=False)
+    whole = len(ids) // block * block
+    blocks = encode_blocks(ids[:whole].reshape(-1, block)) if whole else []
+    if whole < len(ids):
+        blocks += encode_blocks(ids[None, whole:])
     starts = np.cumsum([0] + [len(b) for b in blocks])[:-1]
     return starts.astype("<u8").tobytes(), b"".join(blocks)
 
 
 def decode_ids(starts: bytes, blocks: bytes) -> np.ndarray:
-    offsets = np.frombuffer(starts, "<u8")
-    if not len(offsets):
-        return np.zeros(0, np.uint32)
-    return np.concatenate([decode_block(blocks, int(a)) for a in offsets])
+    return decode_blocks(blocks, np.frombuffer(starts, "<u8"))
 
 
 def read_range(starts: bytes, blocks: bytes, start: int, n: int, block: int = BLOCK) -> np.ndarray:
     """Ids ``start`` to ``start + n`` of a segment; decodes only the blocks that hold them."""
     offsets = np.frombuffer(starts, "<u8")[start // block:(start + n + block - 1) // block]
-    if not len(offsets):
-        return np.zeros(0, np.uint32)
-    return np.concatenate([decode_block(blocks, int(a)) for a in offsets])[start % block:][:n]
+    return decode_blocks(blocks, offsets)[start % block:][:n]
 
 
 def _segments(batches: Iterator[pa.RecordBatch], coder: ByteBpe, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -176,7 +224,7 @@ def _ids(ids: np.ndarray) -> list:
 
 
 def _crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+    return zlib.crc32(ids.astype("<u4", copy=False))
 
 
 def _decoded(spark: SparkSession, rows: DataFrame, value, schema: str, key: str) -> DataFrame:
