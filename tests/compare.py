@@ -26,7 +26,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def canonical(df: pd.DataFrame) -> list[tuple]:
     def cell(v):
-        if v is None or (isinstance(v, float) and pd.isna(v)):
+        if v is None or v is pd.NA or (isinstance(v, float) and pd.isna(v)):
             return None
         if hasattr(v, "item"):
             v = v.item()
@@ -38,9 +38,13 @@ def canonical(df: pd.DataFrame) -> list[tuple]:
 def differences(spark_df, sql_df: pd.DataFrame) -> list[str]:
     """What differs between a Spark result and a SQL result; empty if nothing."""
     mine = spark_df.toPandas()
+    # Whole numbers with nulls stay whole numbers.
+    whole = {f.name for f in spark_df.schema if f.dataType.typeName() in ("byte", "short", "integer", "long")}
+    mine = mine.astype({k: "Int64" for k in whole if mine[k].dtype.kind in "fO"})
     out = []
     if sorted(mine.columns) != sorted(sql_df.columns):
         return [f"columns {sorted(mine.columns)} vs {sorted(sql_df.columns)}"]
+    sql_df = sql_df.astype({k: "Int64" for k in sql_df if sql_df[k].dtype.kind == "O" and k in whole})
     kinds = {k: (mine[k].dtype.kind, sql_df[k].dtype.kind) for k in mine.columns}
     out += [f"type of {k}: {a} vs {b}" for k, (a, b) in kinds.items() if a != b and len(mine)]
     if len(mine) != len(sql_df):
