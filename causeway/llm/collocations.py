@@ -43,9 +43,9 @@ SLOT_BITS = 23
 # A candidate goes if a longer one around it is found in so many of a hundred of its places.
 INSIDE = 80
 SCALE = 2_000_000
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # Keys a task sums up before it hands them on.
-HELD_KEYS = 4_000_000
+HELD_KEYS = 2_000_000
 
 STEP = np.uint64(0xD6E8FEB86659FD93)
 # A-Z in lower case, all ends of pieces as a full stop.
