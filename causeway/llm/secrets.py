@@ -22,17 +22,27 @@ HEX = r"[0-9a-f]{32,}"  # [0-9a-f]+ of 32 or more characters
 
 # Weak candidates. A label may stand behind an underscore (DB_USER) and end in a further part or number (user_id, pwd2).
 FRONT, NUMBER, IS = r"(?<![A-Za-z0-9])", r"(?:[_-]?[0-9]{1,4})?", r"""["']?\x20*[:=]\x20*["']?"""
-WEAK_ID = (rf"""(?i){FRONT}(?:user(?:name)?|login|account|client[_-]?id|(?<!secret[_-])access[_-]?key(?:[_-]?id)?)"""
+WEAK_ID = (rf"""(?i){FRONT}(?:user(?:name)?|login|e-?mail|account|client[_-]?id|(?<!secret[_-])access[_-]?key(?:[_-]?id)?)"""
            rf"""(?:[_-]?(?:name|id|email))?{NUMBER}{IS}[a-z0-9_.@+-]{{3,}}""")
 WEAK_SECRET = (rf"""(?i){FRONT}(?:(?:pwd|pass|credentials?|auth(?:orization)?|bearer|signature|private[_-]?key|"""
-               rf"""secret[_-]?(?:access[_-]?)?key)(?:[_-]?(?:key|value|code|phrase|string|hash))?{NUMBER}{IS}"""
+               rf"""account[_-]?key|secret[_-]?(?:access[_-]?)?key)(?:[_-]?(?:key|value|code|phrase|string|hash))?{NUMBER}{IS}"""
                r"""(?:(?:bearer|basic|token)\x20+)?[a-z0-9+/_.=~-]{4,}|"""
-               r"""bearer\x20+(?:(?=[a-z+/_.=~-]*[0-9])[a-z0-9+/_.=~-]{8,}|[a-z0-9+/_.=~-]{20,}))""")
-# Unlabelled: a base64 run of 32 or more characters with lower case, upper case and digits, or a hex run of 24 or more
-# with letters and digits.
+               r"""bearer\x20+(?:(?=[a-z+/_.=~-]*[0-9])[a-z0-9+/_.=~-]{8,}|[a-z0-9+/_.=~-]{20,})|"""
+               # Without a sign in between, as people write it: something with a digit.
+               rf"""{FRONT}(?:passw(?:or)?d|passphrase|pwd)\x20+(?:is\x20+)?(?=[!-/;-~]{{0,64}}[0-9])[!-9;<>-~]{{4,64}})""")
+# A private key block.
+BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=,:\s-]{16,}?-----END [A-Z ]{0,30}PRIVATE KEY-----"
+# The three parts of scheme://user:password@host.
+URI_USER, URI_WORD = "[!-~&&[^:/@\"'<>]]{1,100}", "[!-~&&[^/@\"'<>]]{1,200}"
+URI_ID = rf"(?<=://){URI_USER}(?=:{URI_WORD}@[A-Za-z0-9])"
+URI_SECRET = rf"(?<=://{URI_USER}:){URI_WORD}(?=@[A-Za-z0-9])"
+URI_HOST = rf"(?<=://{URI_USER}:{URI_WORD}@)[A-Za-z0-9][A-Za-z0-9.-]{{0,253}}(?::[0-9]{{1,5}})?"
+# Unlabelled: a base64 run of 32 or more characters with lower case, upper case and digits, a hex run of 24 or more
+# with letters and digits, or a token that begins as those of a known issuer do.
 BARE = (r"""(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[a-z])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[0-9])"""
         r"""[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])|"""
-        r"""(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])(?:[0-9a-f]{24,}|[0-9A-F]{24,})(?![A-Za-z0-9])""")
+        r"""(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])(?:[0-9a-f]{24,}|[0-9A-F]{24,})(?![A-Za-z0-9])|"""
+        r"""(?<![A-Za-z0-9_-])(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk_live_|AIza)[A-Za-z0-9_-]{16,}""")
 ENDPOINT = (r"""(?i)\bhttps?://[^\s"'<>]+|\b(?:\d{1,3}\.){3}\d{1,3}\b(?::\d{1,5})?|"""
             r"""\b[a-z0-9](?:[a-z0-9-]*[a-z0-9])?(?:\.[a-z0-9](?:[a-z0-9-]*[a-z0-9])?)+:\d{2,5}\b""")
 
@@ -90,12 +100,15 @@ def find_parts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                     only(F.contains(t, F.lit("AKIA")), spans_of(t, ACCESS, 1)),
                     only(t.rlike(HEX), spans_of(t, HEX, 2)))
     short = F.filter(spans_of(t, ASSIGN, 4, 0, 2), lambda s: ~F.exists("_base", lambda b: b["start"] == s["start"]))
-    weak = F.concat(only(has("user", "login", "account", "client", "access"), spans_of(t, WEAK_ID, 3)),
-                    only(has("pwd", "pass", "credential", "auth", "bearer", "signature", "private", "secret"),
+    uri = F.contains(t, F.lit("://")) & F.contains(t, F.lit("@"))
+    weak = F.concat(only(has("user", "login", "mail", "account", "client", "access"), spans_of(t, WEAK_ID, 3)),
+                    only(uri, spans_of(t, URI_ID, 3)), only(uri, spans_of(t, URI_SECRET, 4)), only(uri, spans_of(t, URI_HOST, 5)),
+                    only(has("private key-----"), spans_of(t, BLOCK, 4)),
+                    only(has("pwd", "pass", "credential", "auth", "bearer", "signature", "private", "secret", "account"),
                          spans_of(t, WEAK_SECRET, 4)),
                     only(has("passw", "secret", "token", "apikey", "api_key"), short),
                     only(t.rlike(r"\d\.\d|://|[A-Za-z0-9]:\d\d"), spans_of(t, ENDPOINT, 5)))
-    bare = only(t.rlike("[A-Za-z0-9+/_-]{24}"), spans_of(t, BARE, 6))
+    bare = only(t.rlike("[A-Za-z0-9+/_-]{20}"), spans_of(t, BARE, 6))
 
     def apart(found: Column, taken: Column) -> Column:
         return F.filter(found, lambda w: ~F.exists(taken, lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
