@@ -112,11 +112,14 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, containment: float = CO
                .select("_key", "_text", "n_words", F.col("w.length").alias("length"), F.col("w.start").alias("start"),
                        F.when(F.col("w.length") > 0, F.slice("_words", F.col("w.start") + 1, F.col("w.length"))).alias("seen")))
     bound = pack.select("license", "t_shingles", _length_of(F.col("n"), lengths).alias("t_length"),
-                        F.posexplode("t_minima").alias("t_band", "t_value"))
+                        F.col("t_minima").alias("t_all"), F.posexplode("t_minima").alias("t_band", "t_value"))
     probe = windows.withColumn("minima", F.when(F.col("length") > 0, minima(shingle_hashes(F.col("seen")), bands)))
     probe = probe.select("*", F.posexplode_outer("minima").alias("band", "value"))
     met = probe.join(F.broadcast(bound), (F.col("length") == F.col("t_length")) & (F.col("band") == F.col("t_band"))
                      & (F.col("value") == F.col("t_value")), "left")
+    # A window and a template that meet in several bands are verified in the first of them.
+    first = F.array_position(F.zip_with("minima", "t_all", lambda a, b: a == b), True) == F.col("band") + 1
+    met = met.filter(F.col("license").isNull() | first)
     share = F.size(F.array_intersect("t_shingles", shingles(F.col("seen")))) / F.size("t_shingles")
     checked = met.withColumn("share", F.when(F.col("license").isNotNull(), share)).filter(
         (F.col("length") == 0) | (F.col("share") >= containment))
