@@ -34,7 +34,7 @@ def word_ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(points))
     buckets = np.full((len(points), len(NGRAMS)), -1, np.int64)
     run = np.zeros(len(points), np.uint32)
-    for n in range(1, NGRAMS[-1] + 1):
+    for n in range(1, min(NGRAMS[-1], len(points)) + 1):
         shifted = np.zeros(len(points), np.uint32)
         shifted[:len(points) - n + 1] = points[n - 1:]
         run = (run ^ (shifted + np.uint32(n * 0x9E37))) * np.uint32(0x85EBCA6B)

@@ -114,7 +114,11 @@ def fit_toxicity(texts: list[str], labels: list[int], rounds: int = ROUNDS, firs
 
 def training_rows(docs: DataFrame, labels: DataFrame, train, per_label: int = PER_LABEL, key: str = "doc_id",
                   text: str = "text", label: str = "toxic") -> tuple[list[str], list[int]]:
-    """A bounded sample of labelled rows, the first of each label in hash order of their ids."""
+    """A bounded sample of labelled rows, the first of each label in hash order of their ids.
+
+    Of rows that repeat an id the smallest text counts; null texts, null ids and
+    labels other than 0 and 1 do not, and an id labelled 1 anywhere is toxic. Empty tables give no rows.
+    """
     order = F.md5(F.concat(F.lit("toxicity|"), F.col(key).cast("string")).cast("binary"))
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("y"))
     rows = []
@@ -123,7 +127,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, train, per_label: int = PE
         top = (known.filter(F.col("y") == y).filter(train).withColumn("o", order).orderBy("o").limit(per_label).select(key))
         ids = [r[0] for r in top.collect()]
         found = (docs.filter(F.col(key).isin(ids) & F.col(text).isNotNull() if ids else F.lit(False))
-                 .select(order.alias("o"), F.col(text).alias("t")).limit(2 * per_label).collect())
+                 .groupBy(order.alias("o")).agg(F.min(text).alias("t")).collect())  # one row an id
         rows += [(r["o"], r["t"], y) for r in found]
     rows.sort()
     return [r[1] for r in rows], [r[2] for r in rows]
