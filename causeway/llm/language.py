@@ -55,9 +55,13 @@ class LanguageModel:
 
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
         """(texts, languages) for presence rows, none of them empty."""
-        sizes = np.array([len(r) for r in rows])
-        sums = np.add.reduceat(self.weights[np.concatenate(rows)], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
-        return sums / np.sqrt(sizes)[:, None] + self.bias
+        out = []
+        for at in range(0, len(rows), 64):  # bounds the weights that are gathered at once
+            some = rows[at:at + 64]
+            sizes = np.array([len(r) for r in some])
+            sums = np.add.reduceat(self.weights[np.concatenate(some)], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+            out.append(sums / np.sqrt(sizes)[:, None] + self.bias)
+        return np.concatenate(out)
 
 
 def fit_language(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
@@ -78,10 +82,10 @@ def fit_language(texts: list[str], langs: list[str], landmarks: int = LANDMARKS,
     large = values > 1e-6 * values.max()
     whiten = vectors[:, large] / np.sqrt(values[large])  # Nystroem features: kernel @ whiten
     x = kernel @ whiten
-    mean = x.mean(axis=0)
     y = np.array([[1.0 if x == name else -1.0 for name in names] for x in langs])
     share = np.array([langs.count(x) for x in langs], float)
     w = (1 / share)[:, None]  # every language weighs the same
+    mean = (w * x).sum(axis=0) / w.sum()
     centred = x - mean
     y_mean = (w * y).sum(axis=0) / w.sum()
     beta = np.linalg.solve(centred.T @ (w * centred) + ridge * w.mean() * np.eye(x.shape[1]), centred.T @ (w * (y - y_mean)))
@@ -93,6 +97,8 @@ def training_rows(docs: DataFrame, train, per_language: int = PER_LANGUAGE, max_
     """A bounded sample of labelled rows in hash order of their ids: (text, lang).
 
     Ranking sees ids and languages alone; texts are fetched for the chosen ids.
+    Of rows that repeat an id and language the smallest text counts; rows with a
+    null id, text or language do not. Empty tables give no rows.
     """
     own = docs.filter(train & F.col(lang).isNotNull() & F.col(text).isNotNull())
     order = F.md5(F.concat(F.lit("language|"), F.coalesce(F.col(key).cast("string"), F.lit("null"))).cast("binary"))
@@ -101,7 +107,7 @@ def training_rows(docs: DataFrame, train, per_language: int = PER_LANGUAGE, max_
               .filter(F.col("n") <= per_language).orderBy("n", "l").limit(max_rows).select("k"))
     ids = [r["k"] for r in ranked.collect()]  # max_rows ids at most
     rows = (own.filter(F.col(key).isin([i for i in ids if i is not None]) if ids else F.lit(False))
-            .select(order.alias("o"), F.col(text).alias("t"), F.col(lang).alias("l")).limit(2 * max_rows).collect())
+            .groupBy(order.alias("o"), F.col(lang).alias("l")).agg(F.min(text).alias("t")).collect())  # one row an id and language
     rows.sort(key=lambda r: (r["o"], r["l"], r["t"]))
     return [(r["t"], r["l"]) for r in rows]
 
