@@ -14,8 +14,9 @@ from ..streaming import scoring
 from . import reports
 from .catalog import LABELS, QUERIES, RC, _halves, _scored, _train, c, logs, query, valid
 
-# One label in 13 is wrong on purpose, so that no model can do much better; boosting learns some of the wrong ones.
-ACCURATE, BOOSTED = 0.9, 0.85
+# One label in 13 is wrong on purpose, so that no model can do much better; boosting learns some of the wrong ones,
+# most of all from few rows (0.88 of the held-out rows of 0.01 are right, less of those of 0.001).
+ACCURATE, BOOSTED = 0.9, 0.7
 
 
 def _is(condition: Column) -> Column:
