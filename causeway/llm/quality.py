@@ -1,11 +1,11 @@
 """Quality rules with risk-controlled thresholds.
 
 Each rule is a signal between 0 and 1 that is high for poor texts, cut at some
-value per stratum. Labelled documents decide the cuts of all rules together. A
-fifth of the good rows, and the poor ones, lay out a path of joint cuts, each a
-step stricter than the one before in one rule; steps that reject many poor rows
-for few good ones come first. The other good rows test the path from its loose
-end, and the strictest joint cut is taken for which an exact binomial test still
+value per stratum. Labelled documents decide the cuts of all rules together, every
+one of them: a fifth of the good rows, and all poor ones, lay out a path of joint
+cuts, each a step stricter than the one before in one rule; steps that reject many
+poor rows for few good ones come first. All other good rows test the path from its
+loose end, and the strictest joint cut is taken for which an exact binomial test still
 shows that at most ``limit`` of the good documents are rejected by any rule. The
 path does not depend on the rows that test it, and testing in a fixed order needs
 no correction over the cuts, so only the level is divided, by the number of paths
@@ -38,7 +38,6 @@ STEPS = 50  # cuts per rule: 1/STEPS, 2/STEPS, ... 1
 LIMIT = 0.02  # good documents of a stratum that all rules together may reject
 LEVEL = 0.05  # chance that any promise fails
 PATH_SHARE = 0.2  # good rows that lay out the path; the others test it
-PATH_ROWS = 4_000  # rows of each label and stratum that lay out the path at most
 POOL = -1  # number of the path that small strata share
 BROADCAST_STRATA = 10_000
 
@@ -135,13 +134,17 @@ def layout(steps: np.ndarray, good: np.ndarray, poor: np.ndarray) -> list[tuple[
     not rejected before; one imagined row of each kind lies evenly along a rule.
     """
     at = [STEPS + 1] * len(RULES)
-    left = np.ones(len(steps), bool)
     path: list[tuple[int, int]] = []
+
+    def spread(rows: np.ndarray) -> np.ndarray:
+        """Good and poor rows by rule and step."""
+        return np.array([[np.bincount(steps[rows, r], n[rows], STEPS + 1) for r in range(len(RULES))] for n in (good, poor)])
+    left = np.arange(len(steps))
+    counts = spread(left)  # kept up by what a stretch rejects: a vector is counted once and leaves once
     while max(at) > 1:
         best = None
         for r in range(len(RULES)):
-            own = steps[left, r]
-            g, p = (np.bincount(own, n[left], STEPS + 1)[::-1].cumsum()[::-1] for n in (good, poor))
+            g, p = counts[:, r, ::-1].cumsum(axis=1)[:, ::-1]
             for k in range(at[r] - 1, 0, -1):
                 even = (at[r] - k) / STEPS
                 ratio = (p[k] + even) / (g[k] + even)
@@ -150,19 +153,20 @@ def layout(steps: np.ndarray, good: np.ndarray, poor: np.ndarray) -> list[tuple[
         _, r, k = best
         path += [(r, j) for j in range(at[r] - 1, k - 1, -1)]
         at[r] = k
-        left &= steps[:, r] < k
+        stays = steps[left, r] < k
+        counts -= spread(left[~stays])
+        left = left[stays]
     return path
 
 
 def _paths(sizes: list, limit: float, level: float) -> tuple[list[tuple], float]:
     """Rows (stratum, path, good share, poor share, used) and the level of a path, from (stratum, good, count) rows.
 
-    Sizes alone decide which strata are tested on their own.
+    The shares are those of the rows that lay out the path, whatever the size of a
+    stratum. Sizes alone decide which strata are tested on their own.
     """
     n_good = {r["stratum"]: r["count"] for r in sizes if r["good"]}
-    n_poor = {r["stratum"]: r["count"] for r in sizes if not r["good"]}
-    share = {s: min(PATH_SHARE, PATH_ROWS / n) for s, n in n_good.items()}
-    tested = {s: int(n * (1 - share[s])) for s, n in n_good.items()}
+    tested = {s: int(n * (1 - PATH_SHARE)) for s, n in n_good.items()}
     order = sorted(n_good, key=lambda s: (-tested[s], s is None, str(s)))
     own = len(order)
     while own and tested[order[own - 1]] < rows_needed(limit, level / (own + (own < len(order)))):
@@ -171,8 +175,7 @@ def _paths(sizes: list, limit: float, level: float) -> tuple[list[tuple], float]
     member = [(s, i) for i, s in enumerate(order[:own])] + [(s, POOL) for s in order[own:]]
     if own < len(order) and sum(tested[s] for s in order[own:]) < rows_needed(limit, level):
         member += [(s, POOL) for s in order[:own]]
-    return [(s, i, share[s], PATH_ROWS / max(n_poor.get(s, 1), 1), i != POOL or s in order[own:])
-            for s, i in member], level
+    return [(s, i, PATH_SHARE, 1.0, i != POOL or s in order[own:]) for s, i in member], level
 
 
 def fit_thresholds(features: DataFrame, labels: DataFrame, stratum: str = "lang", key: str = "doc_id",
@@ -180,9 +183,9 @@ def fit_thresholds(features: DataFrame, labels: DataFrame, stratum: str = "lang"
     """(stratum, cuts): for each stratum with good labelled rows, the cut of each rule or null.
 
     ``features`` holds (key, stratum, f). Every labelled row that passes the
-    base rules counts; a key labelled 1 anywhere is good. The rows that go to
-    one place are counts per signal vector of at most ``PATH_ROWS`` rows of each
-    stratum and label, and counts per path step.
+    base rules counts; a key labelled 1 anywhere is good. What goes to one place
+    are counts per signal vector, of which there are so many whatever the number
+    of rows, and counts per path step.
     """
     marks = (labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_l_key"))
              .agg((F.max(label) == 1).alias("good")))
@@ -201,16 +204,17 @@ def fit_thresholds(features: DataFrame, labels: DataFrame, stratum: str = "lang"
         "lays", F.col("place") < F.when(F.col("good"), F.col("good_share")).otherwise(F.col("poor_share")))
 
     def lay(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = pdf["count"].to_numpy(float)
-        is_good = pdf["good"].to_numpy(bool)
-        path = layout(np.array(pdf["steps"].tolist(), np.int64).reshape(-1, len(RULES)), n * is_good, n * ~is_good)
+        steps = np.stack(np.unravel_index(pdf["vector"], (STEPS + 1,) * len(RULES)), axis=1).astype(np.int8)
+        path = layout(steps, pdf["n_good"].to_numpy(float), pdf["n_poor"].to_numpy(float))
         fires = np.full((len(RULES), STEPS + 1), len(path))  # the first cut of the path that rejects a step
         for i, (r, k) in reversed(list(enumerate(path))):
             fires[r, k:] = i
         return pd.DataFrame({"l_path": [pdf["path"].iloc[0]], "moves": [[r * (STEPS + 1) + k for r, k in path]],
                              "fires": [fires.tolist()]})
 
-    laid = cut(dealt.filter("lays").groupBy("path", "good", "steps").count().groupBy("path").applyInPandas(
+    vector = F.aggregate("steps", F.lit(0), lambda v, k: v * (STEPS + 1) + k)
+    laid = cut(dealt.filter("lays").groupBy("path", vector.alias("vector"))
+               .agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_poor")).groupBy("path").applyInPandas(
         lay, "l_path int, moves array<int>, fires array<array<int>>"))
     table = F.broadcast(laid) if len(members) <= BROADCAST_STRATA else laid
     first = F.array_min(F.zip_with("steps", "fires", lambda s, at: F.get(at, s)))
