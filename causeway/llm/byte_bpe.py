@@ -17,6 +17,8 @@ from operator import not_
 import numpy as np
 from tokenizers import Tokenizer
 
+from .common import kept
+
 # A blank at which any text may be cut: printable ASCII or a letter or digit on either side.
 SAFE = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
 # Words a worker keeps. Frequent words come early; those beyond are encoded again in each call that has them.
@@ -38,8 +40,6 @@ def is_plain(text: str) -> bool:
 class ByteBpe:
     """Ids as little-endian 2-byte integers."""
 
-    _last: tuple[str, ByteBpe] | None = None
-
     def __init__(self, model: str):
         self.tokenizer = Tokenizer.from_str(model)
         size = self.tokenizer.get_vocab_size()
@@ -55,9 +55,7 @@ class ByteBpe:
     @classmethod
     def shared(cls, model: str) -> ByteBpe:
         """One coder for each Python worker and model, so that later tasks find the words of earlier ones."""
-        if cls._last is None or cls._last[0] != model:
-            cls._last = (model, cls(model))
-        return cls._last[1]
+        return kept(("ByteBpe", model), lambda: cls(model))
 
     def _plain(self, text: str) -> bytes:
         return self._ids(text).tobytes()

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +53,47 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+_kept: list = []  # (name, thing): what this Python worker keeps for its later tasks
+
+
+def kept(name: tuple, make: Callable[[], Any]) -> Any:
+    """``make()``, kept by the Python worker under ``name`` for later tasks; one such thing at a time."""
+    if not _kept or _kept[0][0] != name:
+        _kept[:] = []
+        _kept.append((name, make()))
+    return _kept[0][1]
+
+
+def let_go() -> None:
+    """Drop what the Python worker keeps."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Give memory that the Python worker has freed back to the system, so that it does not add up over the operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+         keep: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, in a worker that gives back what a task no longer needs.
+
+    What another operator keeps in the worker goes first, unless ``keep``.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            let_go()
+        yield from run(batches)
+        give_back()
+    return task
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is. Texts of ASCII alone take the fast built-in way."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

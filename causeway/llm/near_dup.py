@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bags import shingle_bags, word_lists
-from .common import arrow_rows, cut, text_key
+from .common import arrow_rows, cut, lean, text_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -116,7 +116,7 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 rows = batch.slice(at, 512)
                 yield _sketched(rows.column(0), rows.column(1), word_lists(rows.column(2).to_pylist()))
 
-    return own.mapInArrow(run, "key long, text_key long, digest binary, width int, bands array<long>")
+    return own.mapInArrow(lean(run), "key long, text_key long, digest binary, width int, bands array<long>")
 
 
 def _sketched(keys: pa.Array, text_keys: pa.Array, lists: list[list[str]]) -> pa.RecordBatch:
@@ -178,7 +178,7 @@ def bags_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: s
                     names=["id", "elements", "counts"])
 
     # Rows that repeat a key and text give one bag.
-    return cut(texts.select("id", "t").mapInArrow(bags, "id long, elements binary, counts binary").dropDuplicates(["id"]))
+    return cut(texts.select("id", "t").mapInArrow(lean(bags), "id long, elements binary, counts binary").dropDuplicates(["id"]))
 
 
 def bag_from(elements: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -301,7 +301,7 @@ def links(dealt: DataFrame, similarity: float) -> DataFrame:
 
     return (dealt.select("bucket", "i", "j", "side", "label", "elements", "counts")
             .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(lean(run), "a long, b long").distinct())
 
 
 def dealt_chunks(shared: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .byte_bpe import ByteBpe
-from .common import shared_path
+from .common import lean, shared_path
 
 END_ID = 0
 BLOCK = 1024
@@ -200,7 +200,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _segments(batches, ByteBpe.shared(model), end_id)
 
-    ordered.mapInArrow(encode, SCHEMA).write.parquet(path)
+    ordered.mapInArrow(lean(encode, keep=True), SCHEMA).write.parquet(path)
     return path
 
 
@@ -248,7 +248,7 @@ def _decoded(spark: SparkSession, rows: DataFrame, value, schema: str, key: str)
                     [pa.array(row["doc_ids"].as_py(), pa.int64()), pa.array(start, pa.int64()), pa.array(sizes, pa.int64()),
                      pa.array(values, kind)], names=names)
 
-    return met.mapInArrow(decode, schema)
+    return met.mapInArrow(lean(decode, keep=True), schema)
 
 
 def tokens_of(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
